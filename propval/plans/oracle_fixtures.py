@@ -142,7 +142,7 @@ FROM (
 
 FX["fx_image_tags"] = ("""
 SELECT l_orderkey AS property_id, l_linenumber AS image_idx,
-  CASE WHEN l_linenumber = 5 THEN p_name || 's' WHEN l_linenumber = 6 THEN UPPER(p_name) ELSE p_name END AS tag,
+  CASE WHEN l_linenumber = 5 THEN p_name || 's' WHEN l_linenumber = 6 THEN REPLACE(p_name, ' ', '-') ELSE p_name END AS tag,
   CASE WHEN l_linenumber = 3 THEN NULL ELSE ABS(ROUND(l_discount * 100, 1)) END AS granular_condition_num,
   ROUND(l_tax * 50 + 1, 1) AS high_condition_num,
   CASE WHEN l_linestatus = 'O' THEN 'Indoor' ELSE 'Exterior' END AS image_type
@@ -153,25 +153,34 @@ FX["fx_parsed_ok"] = ("""
 SELECT DISTINCT property_id FROM fx_image_tags
 WHERE property_id % 50 NOT IN (7, 13)""", ["fx_image_tags"])
 
-FX["fx_listings"] = ("""
-SELECT o_orderkey AS cc_list_id, o_orderkey AS property_id,
-  ROUND(o_totalprice * 4.2, 2) AS list_price,
-  CAST(o_orderdate AS DATE) AS list_date,
-  o_orderstatus AS mls_status,
-  1900 + o_orderkey % 126 AS year_built,
+FX["fx_listings"] = (f"""
+SELECT o_orderkey AS cc_list_id,
+  CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE ROUND(o_totalprice * 4.2, 2) END AS price,
+  CAST(o_orderdate AS DATE) AS a_date,
+  ({_list(STATE_CODES)})[o_custkey % 25 + 1] AS state,
+  'city_' || CAST(o_custkey % 30 AS STRING) AS city,
+  'sub_' || CAST(o_custkey % 150 AS STRING) AS subdivision,
+  CASE WHEN o_orderkey % 13 = 0 THEN NULL
+       ELSE (['Single Family', 'Condo', 'Townhouse', 'Multi Family'])[o_custkey % 4 + 1] END AS property_sub_type,
+  LPAD(CAST(o_custkey % 20 AS STRING), 3, '0') AS fips_county_cd,
+  25.0 + CAST(o_custkey % 2000 AS DOUBLE) / 100 AS latitude,
+  -70.0 - CAST(o_custkey % 5000 AS DOUBLE) / 100 AS longitude,
+  1900 + o_orderkey % 130 AS year_built,
   CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 1950 + o_orderkey % 70 END AS effective_year_built,
-  o_orderkey % 4 + 1 AS bedrooms_total,
-  o_orderkey % 3 + 1 AS bathrooms_full,
-  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 2 END AS bathrooms_half,
-  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderkey % 3000 + 600 AS DOUBLE) END AS living_area,
-  CAST((o_custkey % 50 + 1) * 1000 AS DOUBLE) AS lot_size_sqft,
+  o_orderkey % 4 + 1 AS bedrooms,
+  o_orderkey % 3 + 1 AS full_baths,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 2 END AS half_baths,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderkey % 3000 + 600 AS DOUBLE) END AS gla_sqft,
+  CAST((o_custkey % 50 + 1) * 1000 AS DOUBLE) AS lot_sqft,
   o_orderkey % 4 AS garage_spaces,
-  CASE WHEN o_orderkey % 5 = 0 THEN 'Yes' ELSE 'No' END AS pool_private_yn,
-  CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderkey % 3 END AS fireplaces_total,
-  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 40 * 10 AS DOUBLE) END AS association_fee,
-  (['Monthly', 'Annually', 'Quarterly'])[o_orderkey % 3 + 1] AS association_fee_frequency,
-  (['Single Family', 'Condo', 'Townhouse', 'Multi Family'])[o_custkey % 4 + 1] AS property_sub_type,
-  'city_' || CAST(o_custkey % 30 AS STRING) AS city
+  CASE WHEN o_orderkey % 5 = 0 THEN 'Private' END AS pool_spa_types,
+  CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderkey % 3 END AS fireplace_count,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 40 * 10 AS DOUBLE) END AS hoa_fee_amount,
+  2023 + o_orderkey % 4 AS assessed_year,
+  ROUND(o_totalprice * 3, 0) AS assessed_total_value,
+  o_totalprice * 0.03 AS tax_amount,
+  o_totalprice * 4 AS most_recent_sale,
+  o_orderkey % 120 AS mls_days_on_market
 FROM orders""", [])
 
 FX["fx_address"] = ("""
@@ -316,3 +325,12 @@ BASE_DOUBLES = ["sale_price", "latitude", "longitude", "living_sqft", "lot_acres
                [c for c in CENSUS_DOUBLES if c != "poverty_rate"] + \
                ["wealth_concentration_index", "education_income_index", "per_gop", "per_dem",
                 "per_point_diff", "political_lean_strength"]
+
+FX["fx_tagged"] = ("""
+SELECT property_id,
+  CASE WHEN property_id % 50 IN (7, 13) THEN []::VARCHAR[] ELSE list_sort(list(DISTINCT tag)) END AS tags
+FROM fx_image_tags GROUP BY property_id""", ["fx_image_tags"])
+FX["fx_tag_long"] = ("""
+SELECT DISTINCT t.property_id, u.tag FROM fx_tagged t, UNNEST(t.tags) AS u(tag)""", ["fx_tagged"])
+FX["fx_tag_counts"] = ("""
+SELECT tag, COUNT(*) AS n_docs FROM fx_tag_long GROUP BY tag""", ["fx_tag_long"])

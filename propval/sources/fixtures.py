@@ -188,7 +188,7 @@ def votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def image_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long image-analysis table: one image per line item, one feature each.
 
-    Line 5 carries a plural spelling and line 6 an upper-case spelling of the
+    Line 5 carries a plural spelling and line 6 a hyphenated spelling of the
     part name, so that fuzzy canonicalisation has work to do.
     """
     li = table(spark, sf_dir, "lineitem").select(
@@ -197,7 +197,7 @@ def image_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(p, li.l_partkey == p.p_partkey)
     ln = F.col("l_linenumber")
     tag = (F.when(ln == 5, F.concat(F.col("p_name"), F.lit("s")))
-            .when(ln == 6, F.upper("p_name")).otherwise(F.col("p_name")))
+            .when(ln == 6, F.regexp_replace("p_name", " ", "-")).otherwise(F.col("p_name")))
     return j.select(
         F.col("l_orderkey").alias("property_id"),
         ln.alias("image_idx"),
@@ -234,33 +234,45 @@ def parsed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing (MLS staging) stand-in, one row per order."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
-                                              "o_orderdate", "o_orderstatus")
+    """Listing / AVM input stand-in, one row per order (listing id = order key).
+
+    Carries the listing columns the single-model and router workflows read,
+    the leaky assessment columns they drop, and NULLs where the reference
+    fills or flags them.
+    """
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     k, ck, tp = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
     null_long = F.lit(None).cast("bigint")
+    null_dbl = F.lit(None).cast("double")
     return o.select(
         k.alias("cc_list_id"),
-        k.alias("property_id"),
-        F.round(tp * 4.2, 2).alias("list_price"),
-        F.to_date("o_orderdate").alias("list_date"),
-        F.col("o_orderstatus").alias("mls_status"),
-        (F.lit(1900) + k % 126).alias("year_built"),
+        F.when(k % 53 == 0, null_dbl).otherwise(F.round(tp * 4.2, 2)).alias("price"),
+        F.to_date("o_orderdate").alias("a_date"),
+        _pick(STATE_CODES, ck % 25).alias("state"),
+        F.concat(F.lit("city_"), (ck % 30).cast("string")).alias("city"),
+        F.concat(F.lit("sub_"), (ck % 150).cast("string")).alias("subdivision"),
+        F.when(k % 13 == 0, F.lit(None).cast("string"))
+         .otherwise(_pick(["Single Family", "Condo", "Townhouse", "Multi Family"], ck % 4))
+         .alias("property_sub_type"),
+        _pad(ck % 20, 3).alias("fips_county_cd"),
+        (F.lit(25.0) + (ck % 2000).cast("double") / 100).alias("latitude"),
+        (F.lit(-70.0) - (ck % 5000).cast("double") / 100).alias("longitude"),
+        (F.lit(1900) + k % 130).alias("year_built"),
         F.when(k % 3 == 0, null_long).otherwise(F.lit(1950) + k % 70).alias("effective_year_built"),
-        (k % 4 + 1).alias("bedrooms_total"),
-        (k % 3 + 1).alias("bathrooms_full"),
-        F.when(k % 4 == 0, null_long).otherwise(k % 2).alias("bathrooms_half"),
-        F.when(k % 9 == 0, F.lit(None).cast("double"))
-         .otherwise((k % 3000 + 600).cast("double")).alias("living_area"),
-        ((ck % 50 + 1) * 1000).cast("double").alias("lot_size_sqft"),
+        (k % 4 + 1).alias("bedrooms"),
+        (k % 3 + 1).alias("full_baths"),
+        F.when(k % 4 == 0, null_long).otherwise(k % 2).alias("half_baths"),
+        F.when(k % 9 == 0, null_dbl).otherwise((k % 3000 + 600).cast("double")).alias("gla_sqft"),
+        ((ck % 50 + 1) * 1000).cast("double").alias("lot_sqft"),
         (k % 4).alias("garage_spaces"),
-        F.when(k % 5 == 0, F.lit("Yes")).otherwise(F.lit("No")).alias("pool_private_yn"),
-        F.when(k % 6 == 0, null_long).otherwise(k % 3).alias("fireplaces_total"),
-        F.when(k % 3 == 0, F.lit(None).cast("double"))
-         .otherwise((k % 40 * 10).cast("double")).alias("association_fee"),
-        _pick(["Monthly", "Annually", "Quarterly"], k % 3).alias("association_fee_frequency"),
-        _pick(["Single Family", "Condo", "Townhouse", "Multi Family"], ck % 4).alias("property_sub_type"),
-        F.concat(F.lit("city_"), (ck % 30).cast("string")).alias("city"))
+        F.when(k % 5 == 0, F.lit("Private")).alias("pool_spa_types"),
+        F.when(k % 6 == 0, null_long).otherwise(k % 3).alias("fireplace_count"),
+        F.when(k % 3 == 0, null_dbl).otherwise((k % 40 * 10).cast("double")).alias("hoa_fee_amount"),
+        (F.lit(2023) + k % 4).alias("assessed_year"),
+        F.round(tp * 3, 0).alias("assessed_total_value"),
+        (tp * 0.03).alias("tax_amount"),
+        (tp * 4).alias("most_recent_sale"),
+        (k % 120).alias("mls_days_on_market"))
 
 
 def address(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,3 +287,9 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing text: documents keyed by property id."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select(F.col("doc_id").alias("property_id"), F.col("text").alias("public_listing_comments"))
+
+
+def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed tag sets per property (``property_id, tags``)."""
+    from propval.operators.tags import parse_tags
+    return parse_tags(parsed_output(spark, sf_dir)).select("property_id", "tags")

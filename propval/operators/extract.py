@@ -206,11 +206,14 @@ def star_join(assessor: DataFrame, census: DataFrame, votes: DataFrame) -> DataF
     p = assessor.withColumn("state_fips", state_fips(F.col("fips"))) \
                 .withColumn("county_fips", county_fips(F.col("fips")))
     taken = set(p.columns)
-    c = census.withColumnsRenamed({n: f"c_{n}" for n in census.columns if n in taken})
+    cren = {n: f"c_{n}" for n in census.columns if n in taken}
+    c = census.withColumnsRenamed(cren)
     taken |= set(c.columns)
-    v = votes.withColumnsRenamed({n: f"v_{n}" for n in votes.columns if n in taken})
-    vkey = county_fips(F.col("v_county_fips"))
-    return (p.join(c, tract_key(p.fips, p.situscensustract) == F.col("c_census_tract"), "left")
+    vren = {n: f"v_{n}" for n in votes.columns if n in taken}
+    v = votes.withColumnsRenamed(vren)
+    ckey = F.col(cren.get("census_tract", "census_tract"))
+    vkey = county_fips(F.col(vren.get("county_fips", "county_fips")))
+    return (p.join(c, tract_key(p.fips, p.situscensustract) == ckey, "left")
              .join(v, p.county_fips == vkey, "left"))
 
 

@@ -74,7 +74,11 @@ SELECT o.o_orderkey AS propertyid,
        ELSE CAST(o.o_orderdate AS DATE) - CAST(o.o_orderkey % 3000 AS INTEGER) END AS prevsalerecordingdate,
   'sub_' || CAST(o.o_custkey % 40 AS STRING) AS subdivisionname,
   ({_list(ZONING_CODES)})[o.o_orderkey % 4 + 1] AS zoning,
-  2023 + o.o_orderkey % 4 AS assessedyear
+  2023 + o.o_orderkey % 4 AS assessedyear,
+  l._qty * 22 AS sumbuildingsqft,
+  CASE WHEN o.o_custkey % 3 = 0 THEN (o.o_orderkey % 10) * 80 END AS sumbasementsqft,
+  (o.o_orderkey % 4) * 250 AS sumgaragesqft,
+  l._qty * 25 AS sumgrossareasqft
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN fx_line_totals l ON o.o_orderkey = l.l_orderkey""", ["fx_line_totals"])
 
@@ -334,3 +338,8 @@ FX["fx_tag_long"] = ("""
 SELECT DISTINCT t.property_id, u.tag FROM fx_tagged t, UNNEST(t.tags) AS u(tag)""", ["fx_tagged"])
 FX["fx_tag_counts"] = ("""
 SELECT tag, COUNT(*) AS n_docs FROM fx_tag_long GROUP BY tag""", ["fx_tag_long"])
+
+ASSESSOR_DOUBLES = ["currentsalesprice", "situslatitude", "situslongitude", "sumlivingareasqft",
+                    "lotsizeacres", "sumbuildingsqft", "sumgrossareasqft", "assdtotalvalue", "assdlandvalue", "assdimprovementvalue",
+                    "marketvalueland", "marketvalueimprovement", "prevsalesprice"]
+PAD5 = "LEFT(LPAD(TRIM(CAST({} AS STRING)), 5, '0'), 5)"

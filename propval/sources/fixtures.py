@@ -112,6 +112,10 @@ def assessor(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("sub_"), (ck % 40).cast("string")).alias("subdivisionname"),
         _pick(ZONING_CODES, k % 4).alias("zoning"),
         (F.lit(2023) + k % 4).alias("assessedyear"),
+        (F.col("_qty") * 22).alias("sumbuildingsqft"),
+        F.when(ck % 3 == 0, (k % 10) * 80).alias("sumbasementsqft"),
+        ((k % 4) * 250).alias("sumgaragesqft"),
+        (F.col("_qty") * 25).alias("sumgrossareasqft"),
     )
 
 

@@ -343,3 +343,56 @@ ASSESSOR_DOUBLES = ["currentsalesprice", "situslatitude", "situslongitude", "sum
                     "lotsizeacres", "sumbuildingsqft", "sumgrossareasqft", "assdtotalvalue", "assdlandvalue", "assdimprovementvalue",
                     "marketvalueland", "marketvalueimprovement", "prevsalesprice"]
 PAD5 = "LEFT(LPAD(TRIM(CAST({} AS STRING)), 5, '0'), 5)"
+
+# ---- prediction, importance and topic tables (deterministic stand-ins) ----
+
+def tier_case(col: str, table) -> str:
+    parts = []
+    for name, lo, hi in table:
+        parts.append(f"WHEN {col} >= {lo} THEN '{name}'" if hi == float("inf")
+                     else f"WHEN {col} >= {lo} AND {col} < {hi} THEN '{name}'")
+    return "CASE " + " ".join(parts) + " ELSE 'ultra_high' END"
+
+
+def _pred(prime: int) -> str:
+    return f"sale_price * (1 + CAST((property_id * {prime}) % 41 - 20 AS DOUBLE) / 100)"
+
+
+from propval.functions.tiers import PRICE_TIERS as _PT, PRICE_TIERS_POOLED as _PTP  # noqa: E402
+
+FX["fx_predictions"] = (f"""
+SELECT property_id, state, sale_price AS actual, {_pred(7919)} AS predicted,
+  {_pred(7919)} * 0.85 AS pred_lower, {_pred(7919)} * 1.15 AS pred_upper,
+  {tier_case('sale_price', _PT)} AS price_tier,
+  living_sqft, bedrooms, LEAST(GREATEST(2026 - year_built, 0), 200) AS property_age, lot_sqft,
+  full_baths + 0.5::DOUBLE * COALESCE(half_baths, 0) AS total_baths
+FROM fx_extract""", ["fx_extract"])
+
+METHODS = [("BASELINE", 7919), ("LDA", 7927), ("NMF", 7933), ("BERTOPIC", 7937)]
+FX["fx_method_predictions"] = ("\nUNION ALL\n".join(f"""
+SELECT property_id, '{m}' AS method, sale_price AS actual, {_pred(p)} AS predicted,
+  {tier_case('sale_price', _PTP)} AS price_tier FROM fx_extract""" for m, p in METHODS), ["fx_extract"])
+
+IMPORTANCE_FEATURES = ["living_sqft", "lot_sqft", "year_built", "bedrooms", "full_baths", "garage_spaces",
+                       "latitude", "longitude", "median_household_income", "median_home_value",
+                       "pct_bachelors_degree", "per_gop", "total_population", "vacancy_rate"]
+FX["fx_importance"] = ("\nUNION ALL\n".join(f"""
+SELECT CASE WHEN sale_price < 200000 THEN 0 WHEN sale_price < 1000000 THEN 1 ELSE 2 END AS tier,
+  '{f}' AS feature,
+  floor(COALESCE(CASE WHEN isnan(abs(corr(CAST({f} AS DOUBLE), sale_price))) THEN 0.0
+                      ELSE abs(corr(CAST({f} AS DOUBLE), sale_price)) END, 0.0) * 1000000.0 + 0.5) / 1000000.0
+    AS importance,
+  COUNT(*) FILTER (WHERE NOT (substr(md5(CAST(property_id AS STRING) || '|42'), 1, 4) < 'cccd')) AS n_test
+FROM fx_extract GROUP BY 1""" for f in IMPORTANCE_FEATURES), ["fx_extract"])
+
+N_TOPICS = 8
+_RAW = [f"((property_id * {7 + 31 * j}) % 97 + 1)" for j in range(1, N_TOPICS + 1)]
+FX["fx_topics"] = (f"""
+SELECT property_id, sale_price, {tier_case('sale_price', _PT)} AS price_tier,
+  {', '.join(f'CAST({r} AS DOUBLE) / ({" + ".join(_RAW)}) AS topic_{j}' for j, r in enumerate(_RAW, 1))}
+FROM fx_extract""", ["fx_extract"])
+FX["fx_topic_terms"] = (f"""
+SELECT t.topic, c.tag AS term,
+  CAST(c.n_docs * ((t.topic * 13 + c.rk * 7) % 23 + 1) AS DOUBLE) AS weight
+FROM (SELECT tag, n_docs, ROW_NUMBER() OVER (ORDER BY n_docs DESC, tag) AS rk FROM fx_tag_counts) c,
+     range(1, {N_TOPICS + 1}) AS t(topic)""", ["fx_tag_counts"])

@@ -175,7 +175,7 @@ def q_feature_extremes(spark, sf):
 @query("q_decile_profile", rounded(with_fx("""
 SELECT bin, e[bin + 1] AS bin_left, e[bin + 2] AS bin_right, COUNT(*) AS n, quantile_cont(pct_error, 0.5) AS medape
 FROM (SELECT pe.pct_error, q.e,
-        CAST(len(list_filter(q.e[2:len(q.e) - 1], x -> CAST(pe.living_sqft AS DOUBLE) > x)) AS INTEGER) AS bin
+        CAST(len(list_filter(q.e[2:len(q.e) - 1], lambda x: CAST(pe.living_sqft AS DOUBLE) > x)) AS INTEGER) AS bin
       FROM pe, (SELECT list_sort(list_distinct(quantile_cont(CAST(living_sqft AS DOUBLE),
                   [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e FROM pe) q
       WHERE pe.living_sqft IS NOT NULL) t

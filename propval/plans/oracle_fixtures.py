@@ -145,7 +145,8 @@ FROM (
   FROM customer GROUP BY 1) t""", [])
 
 FX["fx_image_tags"] = ("""
-SELECT l_orderkey AS property_id, l_linenumber AS image_idx,
+SELECT l_orderkey AS property_id, l_linenumber AS image_idx, l_partkey AS image_part,
+  l_suppkey AS image_supplier,
   CASE WHEN l_linenumber = 5 THEN p_name || 's' WHEN l_linenumber = 6 THEN REPLACE(p_name, ' ', '-') ELSE p_name END AS tag,
   CASE WHEN l_linenumber = 3 THEN NULL ELSE ABS(ROUND(l_discount * 100, 1)) END AS granular_condition_num,
   ROUND(l_tax * 50 + 1, 1) AS high_condition_num,

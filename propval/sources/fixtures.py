@@ -196,7 +196,7 @@ def image_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     part name, so that fuzzy canonicalisation has work to do.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_discount", "l_tax", "l_linestatus")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount", "l_tax", "l_linestatus")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = li.join(p, li.l_partkey == p.p_partkey)
     ln = F.col("l_linenumber")
@@ -205,6 +205,8 @@ def image_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("l_orderkey").alias("property_id"),
         ln.alias("image_idx"),
+        F.col("l_partkey").alias("image_part"),
+        F.col("l_suppkey").alias("image_supplier"),
         tag.alias("tag"),
         F.when(ln == 3, F.lit(None).cast("double"))
          .otherwise(F.abs(F.round(F.col("l_discount") * 100, 1))).alias("granular_condition_num"),
@@ -220,8 +222,11 @@ def parsed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     t = image_tags(spark, sf_dir)
     num = lambda c: F.when(F.col(c).isNull(), F.lit("None")).otherwise(F.col(c).cast("string"))
+    # image key: line, part and supplier (line numbers repeat within an order)
+    key = F.concat_ws("_", F.col("image_idx").cast("string"), F.col("image_part").cast("string"),
+                      F.col("image_supplier").cast("string"))
     entry = F.concat(
-        F.col("image_idx").cast("string"), F.lit(": {'prominent_features': ['"), F.col("tag"),
+        F.lit("'"), key, F.lit("': {'prominent_features': ['"), F.col("tag"),
         F.lit("'], 'image_type': '"), F.col("image_type"),
         F.lit("', 'granular_condition_num': "), num("granular_condition_num"),
         F.lit(", 'high_condition_num': "), num("high_condition_num"),
@@ -229,7 +234,8 @@ def parsed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("image_idx") == 1, F.lit("True")).otherwise(F.lit("False")),
         F.lit("}"))
     per = (t.groupBy("property_id")
-            .agg(F.sort_array(F.collect_list(F.struct("image_idx", entry.alias("s")))).alias("_e")))
+            .agg(F.sort_array(F.collect_list(F.struct("image_idx", "image_part", "image_supplier",
+                                                      entry.alias("s")))).alias("_e")))
     text = F.concat(F.lit("{"), F.array_join(F.transform("_e", lambda x: x["s"]), ", "), F.lit("}"))
     k = F.col("property_id")
     return per.select(

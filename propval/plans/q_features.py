@@ -266,10 +266,7 @@ def q_geo_clusters(spark, sf):
     return FE.geo_clusters(e).select("property_id", "geo_cluster")
 
 
-@query("q_outlier_filter", with_fx(f"""
-SELECT property_id, price_tier FROM s4
-UNION ALL SELECT property_id, price_tier FROM t0 WHERE price_tier NOT IN ('very_low', 'ultra_high')""",
-    ["fx_extract"], [
+OUTLIER_CTES = [
         ("t0", f"""SELECT property_id, lot_sqft, year_built,
                  sale_price / (living_sqft + 1) AS ppsf, living_sqft / (sale_price + 1) AS spd,
                  {'CASE ' + ' '.join(f"WHEN sale_price >= {lo} AND sale_price < {hi} THEN '{n}'" if hi != float('inf')
@@ -283,7 +280,13 @@ UNION ALL SELECT property_id, price_tier FROM t0 WHERE price_tier NOT IN ('very_
         ("q3", "SELECT price_tier, quantile_cont(lot_sqft, 0.98) AS l98 FROM s2 GROUP BY 1"),
         ("s3", "SELECT s2.* FROM s2 JOIN q3 USING (price_tier) WHERE lot_sqft <= l98"),
         ("s4", "SELECT * FROM s3 WHERE year_built >= 1900 AND year_built <= 2025"),
-    ]))
+    ]
+
+
+@query("q_outlier_filter", with_fx(f"""
+SELECT property_id, price_tier FROM s4
+UNION ALL SELECT property_id, price_tier FROM t0 WHERE price_tier NOT IN ('very_low', 'ultra_high')""",
+    ["fx_extract"], OUTLIER_CTES))
 def q_outlier_filter(spark, sf):
     """Sequential percentile filter on very_low / ultra_high (pooled tiers)."""
     e = extract(spark, sf).withColumn("price_tier", tiers.price_tier(F.col("sale_price"), tiers.PRICE_TIERS_POOLED))

@@ -41,7 +41,7 @@ def round_half_up(c, digits: int = DIGITS):
 
 def sql_round(expr: str, digits: int = DIGITS) -> str:
     """DuckDB twin of :func:`round_half_up`."""
-    return f"floor(({expr}) * {10 ** digits}.0 + 0.5) / {10 ** digits}.0"
+    return f"floor(CAST({expr} AS DOUBLE) * {10 ** digits}.0 + 0.5) / {10 ** digits}.0"
 
 
 def rounded(sql: str, cols: list[str], digits: int = DIGITS) -> str:
@@ -68,4 +68,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that the registry is filled."""
-    from propval.plans import q_extract, q_features, q_metrics, q_tags, q_text  # noqa: F401
+    from propval.plans import q_extract, q_features, q_metrics, q_sources, q_tags, q_text  # noqa: F401

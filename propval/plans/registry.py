@@ -68,4 +68,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that the registry is filled."""
-    from propval.plans import q_extract, q_features, q_metrics, q_sources, q_tags, q_text  # noqa: F401
+    from propval.plans import q_extract, q_features, q_metrics, q_models, q_sources, q_tags, q_text  # noqa: F401

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from propval.functions.mathx import ratio_plus_one
+from propval.functions.mathx import ratio_plus_one, quantile
 
 # Physical -> logical column names of the assessor extract.
 COLUMN_MAP = {
@@ -129,7 +129,7 @@ def features_prior_sale(df: DataFrame, as_of: str = "2024-01-01", census: bool =
         if census and _has(d, "median_home_value"):
             fills[price] = F.coalesce(F.col(price), F.col("median_home_value"))
         else:
-            med = d.agg(F.percentile(price, 0.5).alias("m")).first()["m"]
+            med = d.agg(quantile(price, 0.5).alias("m")).first()["m"]
             fills[price] = F.coalesce(F.col(price), F.lit(med))
     if "years_since_last_sale" in d.columns:
         fills["years_since_last_sale"] = F.coalesce(F.col("years_since_last_sale"), F.lit(999.0))
@@ -193,7 +193,7 @@ def column_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Exact medians of ``cols`` in one aggregation pass (one row returned)."""
     if not cols:
         return {}
-    row = df.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in cols]).first()
+    row = df.agg(*[quantile(F.col(c), 0.5).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -328,12 +328,12 @@ def outlier_filter(df: DataFrame, price: str, tier_col: str = "price_tier",
         return out.drop(*[a for a in th.columns if a != tier_col])
 
     d = step(d, "price_per_sqft",
-             [F.percentile("price_per_sqft", 0.05).alias("_lo"), F.percentile("price_per_sqft", 0.95).alias("_hi")],
+             [quantile("price_per_sqft", 0.05).alias("_lo"), quantile("price_per_sqft", 0.95).alias("_hi")],
              (F.col("price_per_sqft") >= F.col("_lo")) & (F.col("price_per_sqft") <= F.col("_hi")))
-    d = step(d, "sqft_per_dollar", [F.percentile("sqft_per_dollar", 0.95).alias("_s95")],
+    d = step(d, "sqft_per_dollar", [quantile("sqft_per_dollar", 0.95).alias("_s95")],
              F.col("sqft_per_dollar") <= F.col("_s95"))
     if "lot_sqft" in d.columns:
-        d = step(d, "lot_sqft", [F.percentile("lot_sqft", 0.98).alias("_l98")],
+        d = step(d, "lot_sqft", [quantile("lot_sqft", 0.98).alias("_l98")],
                  F.col("lot_sqft") <= F.col("_l98"))
     if "year_built" in d.columns:
         yb = F.col("year_built")
@@ -380,7 +380,7 @@ def cluster_target_stats(df: DataFrame, is_train: Column, price: str, cluster: s
     per cluster (k rows), so it is broadcast."""
     train = df.filter(is_train)
     stats = train.groupBy(cluster).agg(F.avg(price).alias("cluster_avg_price"),
-                                       F.percentile(price, 0.5).alias("cluster_med_price"))
-    med = train.agg(F.percentile(price, 0.5).alias("m")).first()["m"]
+                                       quantile(price, 0.5).alias("cluster_med_price"))
+    med = train.agg(quantile(price, 0.5).alias("m")).first()["m"]
     j = df.join(F.broadcast(stats), cluster, "left")
     return j.withColumns({c: F.coalesce(F.col(c), F.lit(med)) for c in ("cluster_avg_price", "cluster_med_price")})

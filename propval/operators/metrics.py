@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from propval.functions.mathx import quantile
+
 from propval.functions import tiers
 
 
@@ -53,7 +55,7 @@ def regression_aggs(actual: str = "actual", predicted: str = "predicted") -> lis
             F.sqrt(F.avg(F.pow(a - p, 2))).alias("rmse"),
             _r2(a, p).alias("r2"),
             F.avg(ape).alias("mape"),
-            F.percentile(ape, 0.5).alias("medape"),
+            quantile(ape, 0.5).alias("medape"),
             F.avg(F.when(ape < 100, ape)).alias("mape_trimmed"),
             within(10).alias("within_10"), within(20).alias("within_20"), within(30).alias("within_30")]
 
@@ -68,7 +70,7 @@ def metrics_by_range(df: DataFrame, ranges=tiers.RANGES_4) -> DataFrame:
     """MedAPE, MAE and count per left-closed ``[low, high)`` range of actual."""
     d = with_errors(df).withColumn("price_range", tiers.left_closed_range(F.col("actual"), ranges))
     return (d.filter(F.col("price_range").isNotNull()).groupBy("price_range")
-             .agg(F.percentile("pct_error", 0.5).alias("medape"), F.avg("abs_error").alias("mae"),
+             .agg(quantile("pct_error", 0.5).alias("medape"), F.avg("abs_error").alias("mae"),
                   F.count(F.lit(1)).alias("n")))
 
 
@@ -76,8 +78,8 @@ def metrics_by_cut(df: DataFrame) -> DataFrame:
     """Per right-closed bin (``pd.cut``): count, median error, MedAPE, MAE, R2."""
     d = with_errors(df).withColumn("price_range", tiers.right_closed_cut(F.col("actual")))
     return (d.filter(F.col("price_range").isNotNull()).groupBy("price_range")
-             .agg(F.count(F.lit(1)).alias("n"), F.percentile("error", 0.5).alias("median_error"),
-                  F.percentile("pct_error", 0.5).alias("medape"), F.avg("abs_error").alias("mae"),
+             .agg(F.count(F.lit(1)).alias("n"), quantile("error", 0.5).alias("median_error"),
+                  quantile("pct_error", 0.5).alias("medape"), F.avg("abs_error").alias("mae"),
                   _r2(F.col("actual"), F.col("predicted")).alias("r2")))
 
 
@@ -85,8 +87,8 @@ def error_intervals(df: DataFrame, min_count: int = 10) -> DataFrame:
     """p5 / p95 of % error and the interval width per bin with > min_count rows."""
     d = with_errors(df).withColumn("price_range", tiers.right_closed_cut(F.col("actual")))
     g = (d.filter(F.col("price_range").isNotNull()).groupBy("price_range")
-          .agg(F.count(F.lit(1)).alias("n"), F.percentile("pct_error", 0.05).alias("lower"),
-               F.percentile("pct_error", 0.95).alias("upper")))
+          .agg(F.count(F.lit(1)).alias("n"), quantile("pct_error", 0.05).alias("lower"),
+               quantile("pct_error", 0.95).alias("upper")))
     return g.filter(F.col("n") > min_count).withColumn("width", F.col("upper") - F.col("lower"))
 
 
@@ -107,14 +109,14 @@ def feature_extremes(df: DataFrame, features: list[str], id_col: str = "property
                     F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
                                         for f in features])).alias("_kv")) \
             .select(id_col, "pct_error", "abs_error", "_kv.feature", "_kv.value")
-    th = long.groupBy("feature").agg(F.percentile("value", 0.1).alias("p10"), F.percentile("value", 0.9).alias("p90"))
+    th = long.groupBy("feature").agg(quantile("value", 0.1).alias("p10"), quantile("value", 0.9).alias("p90"))
     j = long.join(F.broadcast(th), "feature")
     side = F.explode(F.array(
         F.when(F.col("value") <= F.col("p10"), F.struct(F.lit("bottom_10").alias("side"), F.col("p10").alias("threshold"))),
         F.when(F.col("value") >= F.col("p90"), F.struct(F.lit("top_10").alias("side"), F.col("p90").alias("threshold")))))
     s = j.select("feature", "pct_error", "abs_error", side.alias("_s")).filter(F.col("_s").isNotNull())
     return (s.groupBy("feature", F.col("_s.side").alias("side"), F.col("_s.threshold").alias("threshold"))
-             .agg(F.count(F.lit(1)).alias("n"), F.percentile("pct_error", 0.5).alias("medape"),
+             .agg(F.count(F.lit(1)).alias("n"), quantile("pct_error", 0.5).alias("medape"),
                   F.avg("abs_error").alias("mae")))
 
 
@@ -123,7 +125,7 @@ def decile_profile(df: DataFrame, feature: str, q: int = 10) -> DataFrame:
     included) with the median % error per bin.  Edges are one aggregate of
     q+1 numbers."""
     d = with_errors(df)
-    edges_row = d.agg(F.percentile(F.col(feature).cast("double"), [i / q for i in range(q + 1)]).alias("e")).first()
+    edges_row = d.agg(quantile(F.col(feature).cast("double"), [i / q for i in range(q + 1)]).alias("e")).first()
     edges = sorted(set(edges_row["e"] or []))
     if len(edges) < 2:
         return d.sparkSession.createDataFrame([], "bin int, bin_left double, bin_right double, n bigint, medape double")
@@ -132,7 +134,7 @@ def decile_profile(df: DataFrame, feature: str, q: int = 10) -> DataFrame:
     lefts = F.array(*[F.lit(e) for e in edges[:-1]])
     rights = F.array(*[F.lit(e) for e in edges[1:]])
     g = (d.filter(x.isNotNull()).withColumn("bin", bin_idx.cast("int"))
-          .groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.percentile("pct_error", 0.5).alias("medape")))
+          .groupBy("bin").agg(F.count(F.lit(1)).alias("n"), quantile("pct_error", 0.5).alias("medape")))
     return g.select("bin", F.element_at(lefts, F.col("bin") + 1).alias("bin_left"),
                     F.element_at(rights, F.col("bin") + 1).alias("bin_right"), "n", "medape")
 
@@ -158,7 +160,7 @@ def extrema_summary(df: DataFrame) -> DataFrame:
     within = lambda k: F.avg(F.when(F.col("pct_error") <= k, 1.0).otherwise(0.0)) * 100
     row = d.agg(F.count(F.lit(1)).cast("double").alias("total_predictions"),
                 F.min("pct_error").alias("best_error"), F.max("pct_error").alias("worst_error"),
-                F.percentile("pct_error", 0.9).alias("p90_error"), F.percentile("pct_error", 0.95).alias("p95_error"),
+                quantile("pct_error", 0.9).alias("p90_error"), quantile("pct_error", 0.95).alias("p95_error"),
                 F.count(F.when(z > 3, 1)).cast("double").alias("outliers_z3"),
                 within(10).alias("within_10"), within(20).alias("within_20"), within(30).alias("within_30"))
     names = row.columns
@@ -190,7 +192,7 @@ def extrema_report(df: DataFrame, n: int = 10, id_col: str = "property_id") -> D
          .withColumn("section", F.lit("outliers")))
     d = with_errors(df).withColumn("price_range", tiers.right_closed_cut(F.col("actual")))
     per = (d.filter(F.col("price_range").isNotNull()).groupBy("price_range")
-            .agg(F.percentile("pct_error", 0.5).alias("median_pct_error"), F.avg("pct_error").alias("mean_pct_error"),
+            .agg(quantile("pct_error", 0.5).alias("median_pct_error"), F.avg("pct_error").alias("mean_pct_error"),
                  F.count(F.lit(1)).alias("n"), F.avg("abs_error").alias("mean_abs_error"))
             .withColumn("section", F.lit("by_price_range")))
     return rows.unionByName(z).unionByName(per, allowMissingColumns=True)
@@ -221,7 +223,7 @@ def metrics_by_tier(df: DataFrame, tier_col: str) -> DataFrame:
     a, p = F.col("actual"), F.col("predicted")
     ape = F.abs(F.try_divide(a - p, a)) * 100
     return df.groupBy(tier_col).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile(ape, 0.5).alias("medape"), F.avg(F.abs(a - p)).alias("mae"),
+        F.count(F.lit(1)).alias("n"), quantile(ape, 0.5).alias("medape"), F.avg(F.abs(a - p)).alias("mae"),
         _r2(a, p).alias("r2"), (F.avg(F.when(ape <= 20, 1.0).otherwise(0.0)) * 100).alias("within_20"))
 
 

@@ -223,7 +223,8 @@ def _ab_fit(features, rounds):
     def fit(tier, train, test):
         train, test = MD.prepare_features(train, test, features)
         m = MD.quantile_boost(train, features, "sale_price", quantiles=(0.5,), n_rounds=rounds)
-        return m.predict(test.select("property_id", "sale_price", "price_tier", *features))
+        return (m.predict(test.select("property_id", "sale_price", "price_tier", *features))
+                 .select("property_id", "sale_price", "price_tier", "pred_q50"))
     return fit
 
 
@@ -266,8 +267,9 @@ def q_topic_experiment(spark, sf):
                .select("property_id", F.transform("_e", lambda x: x["weight"]).alias("_w"),
                        F.transform("_e", lambda x: x["term_index"]).alias("_i")))
     from pyspark.ml.functions import array_to_vector
-    dense = vec.select("property_id", F.transform(F.sequence(F.lit(0), F.lit(v - 1)), lambda j: F.coalesce(
-        F.element_at(F.col("_w"), F.array_position(F.col("_i"), j).cast("int")), F.lit(0.0))).alias("emb"))
+    sparse = vec.select("property_id", F.map_from_arrays("_i", "_w").alias("_m"))
+    dense = sparse.select("property_id", F.transform(F.sequence(F.lit(0), F.lit(v - 1)),
+                                                     lambda j: F.coalesce(F.col("_m")[j], F.lit(0.0))).alias("emb"))
     emb = TP.embedding_topics(dense, "emb", "property_id", k=k, pca_k=5).drop("topic", "probability")
     tcols = [f"topic_{i}" for i in range(1, k + 1)]
     preds = []

@@ -203,7 +203,7 @@ def value_counts(df: DataFrame, col: str, n: int = 10) -> DataFrame:
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     top = g.orderBy(F.col("n").desc(), F.col(col)).limit(n)
     n_distinct = g.count()
-    return top.withColumn("n_distinct", F.lit(n_distinct))
+    return top.withColumn("n_distinct", F.lit(n_distinct).cast("bigint"))
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str, classes: list[int]) -> DataFrame:

@@ -324,7 +324,7 @@ _AB_D = ["baseline_mape", "topics_mape", "baseline_mae", "topics_mae", "baseline
 @query("q_ab_lift", rounded(with_fx("""
 SELECT *, (baseline_mape - topics_mape) / baseline_mape * 100 AS mape_improvement_pct FROM t
 UNION ALL
-SELECT 'overall', SUM(n_samples), AVG(baseline_mape), AVG(topics_mape), AVG(baseline_mae), AVG(topics_mae),
+SELECT 'overall', CAST(SUM(n_samples) AS BIGINT), AVG(baseline_mape), AVG(topics_mape), AVG(baseline_mae), AVG(topics_mae),
   AVG(baseline_r2), AVG(topics_r2), (AVG(baseline_mape) - AVG(topics_mape)) / AVG(baseline_mape) * 100 FROM t""",
     ["fx_method_predictions"], [
         ("g", f"""SELECT price_tier, method, COUNT(*) AS n, AVG({_APE}) AS mape, AVG(abs(actual - predicted)) AS mae,

@@ -19,7 +19,7 @@ def _vocab(spark, sf, n=N_SINGLES):
 
 
 @query("q_parse_tags", with_fx("""
-SELECT property_id, len(tags) AS n_tags, array_to_string(tags, '|') AS tags_text FROM fx_tagged""",
+SELECT property_id, CAST(len(tags) AS INTEGER) AS n_tags, array_to_string(tags, '|') AS tags_text FROM fx_tagged""",
                                ["fx_tagged"]))
 def q_parse_tags(spark, sf):
     """Python-dict text -> union set of prominent features (empty if bad/NULL)."""

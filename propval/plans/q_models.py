@@ -44,6 +44,13 @@ def listing_frame(spark, sf):
     return d.withColumn("router_tier", tiers.router_tier(F.col("price")))
 
 
+def _shared(df):
+    """The training frame shared by several model fits: computed once and
+    checkpointed (lineage cut under spark.checkpoint.dir), so each tier or
+    method reads it instead of re-deriving extract, clusters and filters."""
+    return df.checkpoint(eager=True)
+
+
 def _split(df, id_col, frac=0.7):
     tr = FE.hash_split(F.col(id_col), frac)
     return df.filter(tr), df.filter(~tr)
@@ -53,7 +60,7 @@ def _split(df, id_col, frac=0.7):
 def q_quantile_gbt(spark, sf):
     """q10 / q50 / q90 boosting on log1p(price) (shared trees, per-quantile
     leaf percentiles), test predictions with crossing fixed."""
-    train, test = _split(pooled_frame(spark, sf), "property_id")
+    train, test = _split(_shared(pooled_frame(spark, sf)), "property_id")
     train, test = MD.prepare_features(train, test, POOLED_FEATURES)
     model = MD.quantile_boost(train, POOLED_FEATURES, "sale_price", n_rounds=N_ROUNDS)
     p = model.predict(test.select("property_id", "sale_price", *POOLED_FEATURES))
@@ -99,6 +106,7 @@ def q_pooled_tiers(spark, sf):
     tier models train concurrently.  Test predictions of all tiers."""
     d = FE.geo_clusters(pooled_frame(spark, sf))
     kept, _ = FE.outlier_filter(d, "sale_price")
+    kept = _shared(kept)
     counts = dict(kept.groupBy("price_tier").count().collect())       # one row per tier
     before = dict(d.groupBy("price_tier").count().collect())
     feats = POOLED_FEATURES + ["cluster_avg_price", "cluster_med_price"]
@@ -242,9 +250,9 @@ def _run_tiers(d, feats, rounds):
 def q_ab_experiment(spark, sf):
     """Per tier: baseline features vs + LDA image topics (median boosting);
     baseline / topics MAPE, MAE, R2 and lift."""
-    base = pooled_frame(spark, sf).withColumn("price_tier", tiers.price_tier(F.col("sale_price")))
+    base = _shared(pooled_frame(spark, sf).withColumn("price_tier", tiers.price_tier(F.col("sale_price"))))
     topics, _ = TP.lda_topics(_tag_docs(spark, sf), 8, 500, "tags")
-    with_t = base.join(topics, "property_id", "left")
+    with_t = _shared(base.join(topics, "property_id", "left"))
     tcols = [f"topic_{i}" for i in range(1, 9)]
     a = _run_tiers(base, POOLED_FEATURES, TIER_ROUNDS).withColumn("method", F.lit("baseline"))
     b = _run_tiers(with_t, POOLED_FEATURES + tcols, TIER_ROUNDS).withColumn("method", F.lit("topics"))
@@ -258,7 +266,7 @@ def q_topic_experiment(spark, sf):
     """LDA vs NMF vs embedding topics (SVD of the tag TF-IDF + mixture) with
     the same features and pooled median boosting; per-method comparison."""
     from pyspark.ml.feature import PCA
-    base = pooled_frame(spark, sf)
+    base = _shared(pooled_frame(spark, sf))
     k = 8
     lda, _ = TP.lda_topics(_tag_docs(spark, sf), k, 500, "tags")
     long, v = _tag_tfidf(spark, sf)
@@ -274,7 +282,7 @@ def q_topic_experiment(spark, sf):
     tcols = [f"topic_{i}" for i in range(1, k + 1)]
     preds = []
     for name, t in (("LDA", lda), ("NMF", nmf), ("BERTOPIC", emb)):
-        d = base.join(t.select("property_id", *tcols), "property_id", "left").fillna(0.0, subset=tcols)
+        d = _shared(base.join(t.select("property_id", *tcols), "property_id", "left").fillna(0.0, subset=tcols))
         train, test = _split(d, "property_id")
         train, test = MD.prepare_features(train, test, POOLED_FEATURES + tcols)
         m = MD.quantile_boost(train, POOLED_FEATURES + tcols, "sale_price", quantiles=(0.5,), n_rounds=N_ROUNDS)

@@ -150,8 +150,8 @@ def q_routed_scoring(spark, sf):
     train, test = _split(d, "cc_list_id", 0.8)
     train, test = MD.prepare_features(train, test, LISTING_FEATURES)
     router = MD.tier_router(train, LISTING_FEATURES, "router_tier")
-    models = {t: MD.gbt_price(train.filter(F.col("router_tier") == t), LISTING_FEATURES, "price", max_iter=20)
-              for t in (0, 1, 2)}
+    frames = {t: (train.filter(F.col("router_tier") == t), None) for t in (0, 1, 2)}
+    models = MD.train_tiers(frames, lambda t, tr, _: MD.gbt_price(tr, LISTING_FEATURES, "price", max_iter=20))
     p = MD.routed_scoring(test, router, models, LISTING_FEATURES, "cc_list_id")
     return p.join(test.select("cc_list_id", F.col("price").alias("actual")), "cc_list_id")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propval.llm import quality
+from propval.llm import mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition coverage and base counts of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality(docs).drop("text")
+
+
+@query("op10_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))

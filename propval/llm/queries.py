@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propval.llm import mixing, quality
+from propval.llm import mixing, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +37,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_array_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What 100-byte strings that start earlier leave of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.deduplicate(docs).drop("text", "kept_text")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propval.llm import mixing, quality, suffixes
+from propval.llm import jaccard, mixing, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What 100-byte strings that start earlier leave of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.deduplicate(docs).drop("text", "kept_text")
+
+
+@query("op6_jaccard_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of Jaccard 0.9 or more."""
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from propval.llm import jaccard, mixing, quality, suffixes
+from propval.llm import jaccard, langid, mixing, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +51,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of Jaccard 0.9 or more."""
     return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    net = langid.fit(docs.where(~langid.held_out("doc_id", 3) & F.col("doc_id").isNotNull()))
+    asked = docs.select("doc_id", langid.held_out("doc_id", 3).alias("held_out"), "text")
+    return langid.identify(asked, net).drop("text")

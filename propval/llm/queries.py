@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propval.llm import jaccard, langid, mixing, quality, suffixes
+from propval.llm import hmm, jaccard, langid, mixing, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = langid.fit(docs.where(~langid.held_out("doc_id", 3) & F.col("doc_id").isNotNull()))
     asked = docs.select("doc_id", langid.held_out("doc_id", 3).alias("held_out"), "text")
     return langid.identify(asked, net).drop("text")
+
+
+@query("op4_hmm_lm")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under the hidden Markov model."""
+    return hmm.score(table(spark, sf_dir, "documents"), langid.held_out("doc_id", 5))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propval.llm import hmm, jaccard, langid, mixing, quality, suffixes
+from propval.llm import decontaminate, hmm, jaccard, langid, mixing, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every document under the hidden Markov model."""
     return hmm.score(table(spark, sf_dir, "documents"), langid.held_out("doc_id", 5))
+
+
+@query("op1_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and the benchmark items that it contains."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

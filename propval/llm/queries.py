@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propval.llm import decontaminate, hmm, jaccard, langid, mixing, quality, suffixes
+from propval.llm import decontaminate, hmm, jaccard, langid, mixing, quality, rotation, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and the benchmark items that it contains."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_perspective_rotation", rotation.ORACLE)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the perspective of each participant."""
+    return rotation.digest(rotation.rotate(table(spark, sf_dir, "conversations")))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propval.llm import decontaminate, hmm, jaccard, langid, mixing, quality, rotation, suffixes
+from propval.llm import decontaminate, hmm, jaccard, langid, mixing, quality, render, rotation, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation from the perspective of each participant."""
     return rotation.digest(rotation.rotate(table(spark, sf_dir, "conversations")))
+
+
+@query("op8_html_rendering")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page, laid out."""
+    return render.render_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propval.llm import decontaminate, hmm, jaccard, langid, mixing, quality, render, rotation, suffixes
+from propval.llm import decontaminate, hmm, jaccard, langid, licenses, mixing, quality, render, rotation, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visible text of every page, laid out."""
     return render.render_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
+@query("op5_license_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))

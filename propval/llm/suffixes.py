@@ -13,13 +13,14 @@ byte, with 100 bytes each, would be a hundred times the corpus, so:
    nowhere: neither needs a suffix of its own.
 2. *Suffix array.*  The suffixes that begin at the remaining phrases'
    anchors are dealt out by range, with sampled splitters over their leading
-   bytes, and each bucket is sorted by multikey quicksort.  Neighbours'
+   tokens (over all their bytes where one token would fill a bucket), and
+   each bucket is sorted by multikey quicksort.  Neighbours'
    common prefixes give, at every depth, the runs of equal suffixes; the
    text before the anchors is sorted likewise.  A window that reaches j
    bytes back is equal to those that share the run at depth 100 - j and the
    j bytes before; all but the first go.
-3. *Across boundaries.*  Runs that touch the edge of a bucket may go on in
-   the next one.  For these every bucket sends the first of each window,
+3. *Across boundaries.*  Runs of a token that was split and that touch the
+   edge of a bucket may go on in the next one.  For these every bucket sends the first of each window,
    with its bytes, and the earliest of all buckets stays.
 
 A hot passage so meets as one row per task, and its ragged ends are split
@@ -247,16 +248,18 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not got:
         return
     part = pa.Table.from_batches(got).combine_chunks()
+    split = part["split"].to_numpy()
     doc = part["doc"].to_numpy()
     text_hash, start, length = _unpack(part["place"].to_numpy())
     suffix, _ = _columns(part["suffix"], 104)
     before, b_len = _columns(part["before"], 64)
     anchor = start + b_len
     by_place = np.lexsort((anchor, text_hash, doc))       # earlier first, for all that follows
-    doc, text_hash, start, length, suffix, before, b_len = (x[by_place] for x in (doc, text_hash, start, length, suffix, before, b_len))
+    doc, text_hash, start, length, suffix, before, b_len, split = (
+        x[by_place] for x in (doc, text_hash, start, length, suffix, before, b_len, split))
     once = np.ones(len(doc), bool)                        # a document that is listed twice comes twice
     once[1:] = (doc[1:] != doc[:-1]) | (text_hash[1:] != text_hash[:-1]) | (start[1:] != start[:-1])
-    doc, text_hash, start, length, suffix, before, b_len = (x[once] for x in (doc, text_hash, start, length, suffix, before, b_len))
+    doc, text_hash, start, length, suffix, before, b_len, split = (x[once] for x in (doc, text_hash, start, length, suffix, before, b_len, split))
     m = len(doc)
     order, back = multikey_quicksort(suffix), multikey_quicksort(before)
     common, common_back = _common(suffix[order[:-1]], suffix[order[1:]], MATCH), _common(before[back[:-1]], before[back[1:]], 64)
@@ -275,7 +278,7 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again[by[1:]] = key[by[1:]] == key[by[:-1]]
         gone[valid, j] = again
         edge = (run[valid] == 0) | (run[valid] == run[order[-1]])
-        touches[valid, j] = edge & ~again
+        touches[valid, j] = edge & ~again & split[valid]
     # runs of window starts: start = anchor - j, so j counts backwards
     flat = np.zeros((m, REACH + 1), np.int8)
     flat[:, :-1] = gone[:, ::-1]
@@ -317,8 +320,13 @@ def repeated_runs(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                                           (F.col("place").bitwiseAND(low) + 1).alias("length"))
     asked = marks.where("asks").groupBy("doc", hash_of.alias("text_hash")).agg(F.sort_array(F.collect_list("place")).alias("places"))
     suffixes = written(keyed.join(asked.hint("shuffle_hash"), ["doc", "text_hash"]).mapInArrow(_suffixes, SUFFIX))
+    suffixes = suffixes.withColumn("token", F.substring("suffix", 1, TOKEN))
     buckets = max(1, -(-suffixes.count() // BUCKET_ROWS))
-    found = written(suffixes.repartitionByRange(buckets, "suffix", "before", "doc", "place").mapInArrow(_bucket, RUN))
+    hot = suffixes.groupBy("token").count().where(F.col("count") > BUCKET_ROWS // 2).select("token", F.lit(True).alias("hot"))
+    within = lambda c: F.when(F.col("split"), F.col(c))
+    found = written(suffixes.join(hot, "token", "left").withColumn("split", F.col("hot").isNotNull())
+                    .repartitionByRange(buckets, "token", within("suffix"), within("before"), within("doc"), within("place"))
+                    .select("suffix", "before", "doc", "place", "split").mapInArrow(_bucket, RUN))
     at = F.struct("doc", "text_hash", "start")
     edges = found.where("window is not null")
     first = edges.groupBy("window").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1")

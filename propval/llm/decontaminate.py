@@ -148,7 +148,7 @@ def _keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), F.col(text).alias("text"))
 
 
-RUN = "doc_id long, item_id long, covered long, item_words long, n_slots long, n_changed long, agreeing double"
+RUN = "doc_id long, text_hash long, item_id long, covered long, item_words long, n_slots long, n_changed long, agreeing double"
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,15 +172,15 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 stands.setdefault(a, {}).setdefault(b, 0)
                 stands[a][b] += 1
             agree = sum(max(v.values()) for v in stands.values())
-            rows.append((r["doc_id"], r["item_id"], best, r["words"], len(pairs), sum(a != b for a, b in pairs.values()), agree / max(1, len(pairs)) if pairs else 1.0))
+            rows.append((r["doc_id"], r["text_hash"], r["item_id"], best, r["words"], len(pairs), sum(a != b for a, b in pairs.values()), agree / max(1, len(pairs)) if pairs else 1.0))
         names = [c.split()[0] for c in RUN.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], pa.float64() if k == 6 else pa.int64()) for k in range(7)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], pa.float64() if k == 7 else pa.int64()) for k in range(8)], names=names)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(doc_id, item_id, covered, item_words, n_slots, n_changed, agreeing,
-    kind): a row for each document and item that it contains; kind is exact
-    if no slot changed."""
+def contained(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_hash, item_id, covered, item_words, n_slots, n_changed,
+    agreeing, kind): a row for each document and item that it contains; kind
+    is exact if no slot changed."""
     items = written(_keyed(benchmark, item_id, "text").mapInArrow(_benchmark, WINDOWS))
     shared = docs.sparkSession.sparkContext.broadcast((_bits(items), sorted(r[0] for r in items.select("size").distinct().collect())))
 
@@ -204,6 +204,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     return (diagonals.mapInArrow(_runs, RUN)
             .withColumn("agreeing_enough", F.col("agreeing") >= MIN_AGREEING)
             .where((F.col("covered") >= F.least(F.lit(MIN_COVERED), F.col("item_words"))) & F.col("agreeing_enough"))
-            .groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
-            .select("doc_id", "item_id", "b.covered", "b.item_words", "b.n_slots", "b.n_changed", "b.agreeing",
+            .groupBy("doc_id", "text_hash", "item_id").agg(F.max(best).alias("b"))
+            .select("doc_id", "text_hash", "item_id", "b.covered", "b.item_words", "b.n_slots", "b.n_changed", "b.agreeing",
                     F.when(F.col("b.n_changed") == 0, "exact").otherwise("template").alias("kind")))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """The best row of :func:`contained` for each doc_id and item_id."""
+    rows = contained(docs, benchmark, doc_id, item_id, text)
+    rest = [c for c in rows.columns if c not in ("doc_id", "item_id", "text_hash")]
+    return rows.groupBy("doc_id", "item_id").agg(F.max(F.struct(*rest)).alias("b")).select("doc_id", "item_id", "b.*")
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs, in its own columns, without the rows that contain an item."""
+    hit = contained(docs, benchmark, doc_id, text=text).select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash")).distinct()
+    same = F.col(doc_id).eqNullSafe(F.col("_hit_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_hit_hash"))
+    return docs.join(hit, same, "left_anti")

@@ -389,9 +389,8 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "class")
     keep = (joined.where("component is not null").groupBy("component").agg(F.min(order).alias("k"))
             .select(F.col("k.doc_id").alias("_keep_id"), F.col("k.class").alias("_keep_class")))
-    columns = df.columns
-    marked = members(df.withColumnsRenamed({c: f"_{i}_{c}" for i, c in enumerate(columns)}), f"_{columns.index(text)}_{text}")
-    own_id, back = f"_{columns.index(doc_id)}_{doc_id}", [F.col(f"`_{i}_{c}`").alias(c) for i, c in enumerate(columns)]
+    aside, names, back = tb.set_aside(df)
+    marked, own_id = members(aside, names[text]), names[doc_id]
     kept = (marked.where("class is not null").join(keep, F.col(own_id).eqNullSafe(F.col("_keep_id")) & (F.col("class") == F.col("_keep_class")))
             .dropDuplicates([own_id, "class"]))
     return kept.select(back).unionByName(marked.where("class is null").select(back))

@@ -27,6 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from propval.llm import textbytes as tb
 from propval.llm.store import written
 
 WEIGHTS = (1, 2, 3)
@@ -126,3 +127,18 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     to = F.col("begin") + F.col("run")
     taken = F.col("passes") * F.col("size") + shared(F.col("begin"), F.least(to, F.col("words"))) + shared(F.lit(0), to - F.col("words"))
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), "n_blocks")
+
+
+MIXED = ("size", "source_size", "target", "taken", "n_blocks")
+
+
+def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED) -> DataFrame:
+    """The rows of docs that the mix takes words of, with their columns (those
+    called like one of MIXED go) and MIXED."""
+    aside, names, back = tb.set_aside(tb.without(docs, list(MIXED)))
+    copy = Window.partitionBy("key").orderBy(F.lit(0))        # rows with equal id and text are alike: any order does
+    own = aside.withColumn("key", F.struct(F.col(names[doc_id]).alias("id"), F.xxhash64(names[text]).alias("hash")))
+    rows = mix(own, "key", names[source], names[text], seed).withColumnRenamed("doc_id", "key").withColumn("copy", F.row_number().over(copy))
+    taken = rows.where("taken > 0").select(F.col("key").alias("k"), F.col("copy").alias("c"), *MIXED)
+    return (own.withColumn("copy", F.row_number().over(copy)).join(taken, (F.col("key") == F.col("k")) & (F.col("copy") == F.col("c")))
+            .select(*back, *MIXED))

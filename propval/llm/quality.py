@@ -68,7 +68,7 @@ def measure(texts: pa.Array) -> list[np.ndarray]:
         shares.append(count(owner[inside], chars[inside]) / np.maximum(word_chars, 1))
 
     breaks = np.flatnonzero(data == 10)
-    line_start = np.sort(np.concatenate([offsets[:-1], breaks + 1]))
+    line_start = np.unique(np.concatenate([offsets[:-1], breaks + 1]))       # one even where an empty text or line is
     line_owner = np.searchsorted(offsets, line_start, "right") - 1
     inner = (line_owner < docs) & (line_start < offsets[np.minimum(line_owner, docs - 1) + 1])   # an empty last line has no word
     line_start, line_owner = line_start[inner], line_owner[inner]

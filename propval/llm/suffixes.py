@@ -374,3 +374,12 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
             kept = [c for n, c in zip(part.schema.names, part.columns, strict=True) if n != "_runs"]
             yield pa.RecordBatch.from_arrays([*kept, *new], names=[f.name for f in schema.fields])
     return joined.mapInArrow(run, schema)
+
+
+def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """df in its own columns, texts cut to what stays (and n_chars, if df has
+    it, counted anew); rows that keep no word go."""
+    aside, names, back = tb.set_aside(df)
+    cut = deduplicate(aside, names[doc_id], names[text]).where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {text: F.col("kept_text")} | ({n_chars: F.length("kept_text").cast(df.schema[n_chars].dataType)} if n_chars in names else {})
+    return cut.select(*[new[c].alias(c) if c in new else old for c, old in zip(df.columns, back, strict=True)])

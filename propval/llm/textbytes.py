@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 U = np.uint64
@@ -150,6 +151,13 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in lower])
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str], list]:
+    """df with columns named so that no operator's own can clash, those names
+    by the old ones, and the expressions that give the old columns back."""
+    names = {c: f"_{i}_{c}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names, [F.col(f"`{n}`").alias(c) for c, n in names.items()]
+
+
 def append_columns(df: DataFrame, text: str, fields: list[T.StructField],
                    compute: Callable[[pa.Array], list]) -> DataFrame:
     """df with columns that ``compute`` derives from the texts, in Arrow

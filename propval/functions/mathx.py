@@ -14,30 +14,3 @@ def guarded_pct(num: Column, den: Column) -> Column:
 def ratio_plus_one(num: Column, den: Column) -> Column:
     """``num / (den + 1)`` as double."""
     return num.cast("double") / (den + 1)
-
-
-def nan_to_null(c: Column) -> Column:
-    """pandas NaN plays NULL in the reference; Spark keeps them apart."""
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
-APPROX_CONF = "propval.percentile.approx"
-APPROX_ACCURACY_CONF = "propval.percentile.accuracy"
-
-
-def quantile(c, q):
-    """Exact linear-interpolated percentile (pandas / DuckDB semantics), or
-    ``percentile_approx`` when the session sets ``propval.percentile.approx``
-    to true.
-
-    The exact aggregate keeps every distinct value of a group in the task
-    that finishes it, so on a very large or hot group the approximate form
-    (bounded sketch, mergeable map-side) is the one to run at scale.
-    """
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    approx = s is not None and str(s.conf.get(APPROX_CONF, "false")).lower() == "true"
-    if approx:
-        acc = int(s.conf.get(APPROX_ACCURACY_CONF, "100000"))
-        return F.percentile_approx(c, q, acc)
-    return F.percentile(c, q)

@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from propval.functions.mathx import ratio_plus_one, quantile
+from propval.functions.mathx import ratio_plus_one
+from propval.functions.quantiles import agg_with_quantiles, quantile_row, quantiles
 
 # Physical -> logical column names of the assessor extract.
 COLUMN_MAP = {
@@ -129,7 +130,7 @@ def features_prior_sale(df: DataFrame, as_of: str = "2024-01-01", census: bool =
         if census and _has(d, "median_home_value"):
             fills[price] = F.coalesce(F.col(price), F.col("median_home_value"))
         else:
-            med = d.agg(quantile(price, 0.5).alias("m")).first()["m"]
+            med = quantile_row(d, {"m": (price, 0.5)})["m"]
             fills[price] = F.coalesce(F.col(price), F.lit(med))
     if "years_since_last_sale" in d.columns:
         fills["years_since_last_sale"] = F.coalesce(F.col("years_since_last_sale"), F.lit(999.0))
@@ -190,11 +191,8 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
 
 
 def column_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """Exact medians of ``cols`` in one aggregation pass (one row returned)."""
-    if not cols:
-        return {}
-    row = df.agg(*[quantile(F.col(c), 0.5).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    """Exact medians of ``cols`` in one distributed pass (one row returned)."""
+    return quantile_row(df, {c: (c, 0.5) for c in cols}) if cols else {}
 
 
 def fill_medians(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
@@ -319,21 +317,21 @@ def outlier_filter(df: DataFrame, price: str, tier_col: str = "price_tier",
     d = target_ratios(df, price).withColumn("_removed", F.lit(None).cast("string"))
     target = F.col(tier_col).isin(list(tiers))
 
-    def step(d, name, aggs, keep):
+    def step(d, name, wanted, keep):
         live = d.filter(target & F.col("_removed").isNull())
-        th = live.groupBy(tier_col).agg(*aggs)
-        j = d.join(F.broadcast(th), tier_col, "left")
+        th = quantiles(live, [tier_col], wanted)            # a row for each tier
+        j = d.join(th, tier_col, "left")
         drop = target & F.col("_removed").isNull() & ~F.coalesce(keep, F.lit(False))
         out = j.withColumn("_removed", F.when(drop, F.lit(name)).otherwise(F.col("_removed")))
         return out.drop(*[a for a in th.columns if a != tier_col])
 
     d = step(d, "price_per_sqft",
-             [quantile("price_per_sqft", 0.05).alias("_lo"), quantile("price_per_sqft", 0.95).alias("_hi")],
+             {"_lo": ("price_per_sqft", 0.05), "_hi": ("price_per_sqft", 0.95)},
              (F.col("price_per_sqft") >= F.col("_lo")) & (F.col("price_per_sqft") <= F.col("_hi")))
-    d = step(d, "sqft_per_dollar", [quantile("sqft_per_dollar", 0.95).alias("_s95")],
+    d = step(d, "sqft_per_dollar", {"_s95": ("sqft_per_dollar", 0.95)},
              F.col("sqft_per_dollar") <= F.col("_s95"))
     if "lot_sqft" in d.columns:
-        d = step(d, "lot_sqft", [quantile("lot_sqft", 0.98).alias("_l98")],
+        d = step(d, "lot_sqft", {"_l98": ("lot_sqft", 0.98)},
                  F.col("lot_sqft") <= F.col("_l98"))
     if "year_built" in d.columns:
         yb = F.col("year_built")
@@ -376,11 +374,9 @@ def geo_clusters(df: DataFrame, k: int = 8, seed: int = 42, lat="latitude", lon=
 
 def cluster_target_stats(df: DataFrame, is_train: Column, price: str, cluster: str = "geo_cluster") -> DataFrame:
     """Cluster mean / median price from train rows only, joined back; clusters
-    without train rows get the train median.  The stats frame has one row
-    per cluster (k rows), so it is broadcast."""
+    without train rows get the train median."""
     train = df.filter(is_train)
-    stats = train.groupBy(cluster).agg(F.avg(price).alias("cluster_avg_price"),
-                                       quantile(price, 0.5).alias("cluster_med_price"))
-    med = train.agg(quantile(price, 0.5).alias("m")).first()["m"]
-    j = df.join(F.broadcast(stats), cluster, "left")
+    stats = agg_with_quantiles(train, [cluster], [F.avg(price).alias("cluster_avg_price")], {"cluster_med_price": (price, 0.5)})
+    med = quantile_row(train, {"m": (price, 0.5)})["m"]
+    j = df.join(stats, cluster, "left")
     return j.withColumns({c: F.coalesce(F.col(c), F.lit(med)) for c in ("cluster_avg_price", "cluster_med_price")})

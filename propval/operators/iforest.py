@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propval.functions.mathx import quantile
+from propval.functions.quantiles import quantile_row
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, size int, depth int")
 
@@ -112,5 +112,5 @@ def isolation_forest(df: DataFrame, features: list[str], id_col: str, n_trees: i
             yield pd.DataFrame({id_col: pdf[id_col], "anomaly_score": np.power(2.0, -path / c_n)})
 
     scored = d.mapInPandas(score, f"{id_col} long, anomaly_score double")
-    cut = scored.agg(quantile("anomaly_score", 1 - contamination).alias("c")).first()["c"]
+    cut = quantile_row(scored, {"c": ("anomaly_score", 1 - contamination)})["c"]
     return scored.withColumn("is_outlier", F.col("anomaly_score") > F.lit(cut))

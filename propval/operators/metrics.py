@@ -1,7 +1,8 @@
 """Error metrics, distributions and comparisons (survey 2.4, 2.6).
 
-Every metric is a single ``agg`` (or ``groupBy().agg``) pass; percentiles
-are exact (``percentile``, linear interpolation as in pandas).  Thresholds
+Every metric is one grouped aggregation; percentiles are exact (linear
+interpolation as in pandas) and distributed (``functions.quantiles``), so no
+group has to fit a task.  Thresholds
 that drive a later filter (percentile edges, z-score moments) are one-row or
 per-group aggregates joined back with a broadcast of proven size (one row
 per group of a fixed, small grouping).
@@ -14,9 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from propval.functions.mathx import quantile
-
 from propval.functions import tiers
+from propval.functions.quantiles import agg_with_quantiles, quantile_row, quantiles
 
 
 def tier_distribution(df: DataFrame, price: str, tier_table=tiers.PRICE_TIERS) -> DataFrame:
@@ -46,7 +46,7 @@ def _r2(actual: Column, predicted: Column) -> Column:
 
 
 def regression_aggs(actual: str = "actual", predicted: str = "predicted") -> list[Column]:
-    """n, MAE, RMSE, R2, MAPE, MedAPE, trimmed MAPE (< 100), within 10/20/30 %."""
+    """n, MAE, RMSE, R2, MAPE, trimmed MAPE (< 100), within 10/20/30 %."""
     a, p = F.col(actual), F.col(predicted)
     ape = F.abs(F.try_divide(a - p, a)) * 100
     within = lambda k: F.avg(F.when(ape <= k, 1.0).otherwise(0.0)) * 100
@@ -55,40 +55,37 @@ def regression_aggs(actual: str = "actual", predicted: str = "predicted") -> lis
             F.sqrt(F.avg(F.pow(a - p, 2))).alias("rmse"),
             _r2(a, p).alias("r2"),
             F.avg(ape).alias("mape"),
-            quantile(ape, 0.5).alias("medape"),
             F.avg(F.when(ape < 100, ape)).alias("mape_trimmed"),
             within(10).alias("within_10"), within(20).alias("within_20"), within(30).alias("within_30")]
 
 
 def regression_metrics(df: DataFrame, by: list[str] | None = None, actual: str = "actual",
                        predicted: str = "predicted") -> DataFrame:
-    aggs = regression_aggs(actual, predicted)
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    """:func:`regression_aggs` and the median absolute percentage error."""
+    a, p = F.col(actual), F.col(predicted)
+    return agg_with_quantiles(df, by or [], regression_aggs(actual, predicted), {"medape": (F.abs(F.try_divide(a - p, a)) * 100, 0.5)})
 
 
 def metrics_by_range(df: DataFrame, ranges=tiers.RANGES_4) -> DataFrame:
     """MedAPE, MAE and count per left-closed ``[low, high)`` range of actual."""
     d = with_errors(df).withColumn("price_range", tiers.left_closed_range(F.col("actual"), ranges))
-    return (d.filter(F.col("price_range").isNotNull()).groupBy("price_range")
-             .agg(quantile("pct_error", 0.5).alias("medape"), F.avg("abs_error").alias("mae"),
-                  F.count(F.lit(1)).alias("n")))
+    return agg_with_quantiles(d.filter(F.col("price_range").isNotNull()), ["price_range"],
+                              [F.avg("abs_error").alias("mae"), F.count(F.lit(1)).alias("n")], {"medape": ("pct_error", 0.5)})
 
 
 def metrics_by_cut(df: DataFrame) -> DataFrame:
     """Per right-closed bin (``pd.cut``): count, median error, MedAPE, MAE, R2."""
     d = with_errors(df).withColumn("price_range", tiers.right_closed_cut(F.col("actual")))
-    return (d.filter(F.col("price_range").isNotNull()).groupBy("price_range")
-             .agg(F.count(F.lit(1)).alias("n"), quantile("error", 0.5).alias("median_error"),
-                  quantile("pct_error", 0.5).alias("medape"), F.avg("abs_error").alias("mae"),
-                  _r2(F.col("actual"), F.col("predicted")).alias("r2")))
+    return agg_with_quantiles(d.filter(F.col("price_range").isNotNull()), ["price_range"],
+                              [F.count(F.lit(1)).alias("n"), F.avg("abs_error").alias("mae"), _r2(F.col("actual"), F.col("predicted")).alias("r2")],
+                              {"median_error": ("error", 0.5), "medape": ("pct_error", 0.5)})
 
 
 def error_intervals(df: DataFrame, min_count: int = 10) -> DataFrame:
     """p5 / p95 of % error and the interval width per bin with > min_count rows."""
     d = with_errors(df).withColumn("price_range", tiers.right_closed_cut(F.col("actual")))
-    g = (d.filter(F.col("price_range").isNotNull()).groupBy("price_range")
-          .agg(F.count(F.lit(1)).alias("n"), quantile("pct_error", 0.05).alias("lower"),
-               quantile("pct_error", 0.95).alias("upper")))
+    g = agg_with_quantiles(d.filter(F.col("price_range").isNotNull()), ["price_range"], [F.count(F.lit(1)).alias("n")],
+                           {"lower": ("pct_error", 0.05), "upper": ("pct_error", 0.95)})
     return g.filter(F.col("n") > min_count).withColumn("width", F.col("upper") - F.col("lower"))
 
 
@@ -103,21 +100,21 @@ def feature_extremes(df: DataFrame, features: list[str], id_col: str = "property
     """Rows at or below p10 / at or above p90 of each feature: count, MedAPE, MAE.
 
     The features are unpivoted to ``(feature, value)`` so that thresholds are
-    one grouped pass (one row per feature, broadcast back)."""
+    one grouped pass (one row per feature, joined back)."""
     d = with_errors(df)
     long = d.select(id_col, "pct_error", "abs_error",
                     F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
                                         for f in features])).alias("_kv")) \
             .select(id_col, "pct_error", "abs_error", "_kv.feature", "_kv.value")
-    th = long.groupBy("feature").agg(quantile("value", 0.1).alias("p10"), quantile("value", 0.9).alias("p90"))
-    j = long.join(F.broadcast(th), "feature")
+    th = quantiles(long, ["feature"], {"p10": ("value", 0.1), "p90": ("value", 0.9)})
+    j = long.join(th, "feature")
     side = F.explode(F.array(
         F.when(F.col("value") <= F.col("p10"), F.struct(F.lit("bottom_10").alias("side"), F.col("p10").alias("threshold"))),
         F.when(F.col("value") >= F.col("p90"), F.struct(F.lit("top_10").alias("side"), F.col("p90").alias("threshold")))))
     s = j.select("feature", "pct_error", "abs_error", side.alias("_s")).filter(F.col("_s").isNotNull())
-    return (s.groupBy("feature", F.col("_s.side").alias("side"), F.col("_s.threshold").alias("threshold"))
-             .agg(F.count(F.lit(1)).alias("n"), quantile("pct_error", 0.5).alias("medape"),
-                  F.avg("abs_error").alias("mae")))
+    s = s.select("feature", "pct_error", "abs_error", "_s.side", "_s.threshold")
+    return agg_with_quantiles(s, ["feature", "side", "threshold"], [F.count(F.lit(1)).alias("n"), F.avg("abs_error").alias("mae")],
+                              {"medape": ("pct_error", 0.5)})
 
 
 def decile_profile(df: DataFrame, feature: str, q: int = 10) -> DataFrame:
@@ -125,16 +122,15 @@ def decile_profile(df: DataFrame, feature: str, q: int = 10) -> DataFrame:
     included) with the median % error per bin.  Edges are one aggregate of
     q+1 numbers."""
     d = with_errors(df)
-    edges_row = d.agg(quantile(F.col(feature).cast("double"), [i / q for i in range(q + 1)]).alias("e")).first()
-    edges = sorted(set(edges_row["e"] or []))
+    edges = sorted({e for e in quantile_row(d, {f"e{i}": (feature, i / q) for i in range(q + 1)}).values() if e is not None})
     if len(edges) < 2:
         return d.sparkSession.createDataFrame([], "bin int, bin_left double, bin_right double, n bigint, medape double")
     x = F.col(feature).cast("double")
     bin_idx = reduce(lambda a, b: a + b, [F.when(x > F.lit(e), 1).otherwise(0) for e in edges[1:-1]], F.lit(0))
     lefts = F.array(*[F.lit(e) for e in edges[:-1]])
     rights = F.array(*[F.lit(e) for e in edges[1:]])
-    g = (d.filter(x.isNotNull()).withColumn("bin", bin_idx.cast("int"))
-          .groupBy("bin").agg(F.count(F.lit(1)).alias("n"), quantile("pct_error", 0.5).alias("medape")))
+    g = agg_with_quantiles(d.filter(x.isNotNull()).withColumn("bin", bin_idx.cast("int")), ["bin"], [F.count(F.lit(1)).alias("n")],
+                           {"medape": ("pct_error", 0.5)})
     return g.select("bin", F.element_at(lefts, F.col("bin") + 1).alias("bin_left"),
                     F.element_at(rights, F.col("bin") + 1).alias("bin_right"), "n", "medape")
 
@@ -158,11 +154,11 @@ def extrema_summary(df: DataFrame) -> DataFrame:
     m = d.agg(F.avg("error").alias("mu"), F.stddev_samp("error").alias("sd")).first()
     z = F.abs((F.col("error") - F.lit(m["mu"])) / F.lit(m["sd"] or 1.0))
     within = lambda k: F.avg(F.when(F.col("pct_error") <= k, 1.0).otherwise(0.0)) * 100
-    row = d.agg(F.count(F.lit(1)).cast("double").alias("total_predictions"),
-                F.min("pct_error").alias("best_error"), F.max("pct_error").alias("worst_error"),
-                quantile("pct_error", 0.9).alias("p90_error"), quantile("pct_error", 0.95).alias("p95_error"),
-                F.count(F.when(z > 3, 1)).cast("double").alias("outliers_z3"),
-                within(10).alias("within_10"), within(20).alias("within_20"), within(30).alias("within_30"))
+    row = agg_with_quantiles(d, [], [
+        F.count(F.lit(1)).cast("double").alias("total_predictions"), F.min("pct_error").alias("best_error"), F.max("pct_error").alias("worst_error"),
+        F.count(F.when(z > 3, 1)).cast("double").alias("outliers_z3"),
+        within(10).alias("within_10"), within(20).alias("within_20"), within(30).alias("within_30")],
+        {"p90_error": ("pct_error", 0.9), "p95_error": ("pct_error", 0.95)})
     names = row.columns
     return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value"))
                                           for n in names])).alias("_kv")).select("_kv.metric", "_kv.value")
@@ -191,10 +187,10 @@ def extrema_report(df: DataFrame, n: int = 10, id_col: str = "property_id") -> D
     z = (zscore_outliers(df, 3.0, id_col).select(id_col, "actual", "predicted", "error", "pct_error")
          .withColumn("section", F.lit("outliers")))
     d = with_errors(df).withColumn("price_range", tiers.right_closed_cut(F.col("actual")))
-    per = (d.filter(F.col("price_range").isNotNull()).groupBy("price_range")
-            .agg(quantile("pct_error", 0.5).alias("median_pct_error"), F.avg("pct_error").alias("mean_pct_error"),
-                 F.count(F.lit(1)).alias("n"), F.avg("abs_error").alias("mean_abs_error"))
-            .withColumn("section", F.lit("by_price_range")))
+    per = (agg_with_quantiles(d.filter(F.col("price_range").isNotNull()), ["price_range"],
+                              [F.avg("pct_error").alias("mean_pct_error"), F.count(F.lit(1)).alias("n"), F.avg("abs_error").alias("mean_abs_error")],
+                              {"median_pct_error": ("pct_error", 0.5)})
+           .withColumn("section", F.lit("by_price_range")))
     return rows.unionByName(z).unionByName(per, allowMissingColumns=True)
 
 
@@ -222,9 +218,9 @@ def metrics_by_tier(df: DataFrame, tier_col: str) -> DataFrame:
     """Per tier: count, MedAPE, MAE, R2, within 20 %."""
     a, p = F.col("actual"), F.col("predicted")
     ape = F.abs(F.try_divide(a - p, a)) * 100
-    return df.groupBy(tier_col).agg(
-        F.count(F.lit(1)).alias("n"), quantile(ape, 0.5).alias("medape"), F.avg(F.abs(a - p)).alias("mae"),
-        _r2(a, p).alias("r2"), (F.avg(F.when(ape <= 20, 1.0).otherwise(0.0)) * 100).alias("within_20"))
+    return agg_with_quantiles(df, [tier_col], [
+        F.count(F.lit(1)).alias("n"), F.avg(F.abs(a - p)).alias("mae"),
+        _r2(a, p).alias("r2"), (F.avg(F.when(ape <= 20, 1.0).otherwise(0.0)) * 100).alias("within_20")], {"medape": (ape, 0.5)})
 
 
 def mape_weighting(df: DataFrame, method_col: str, tier_col: str, baseline: str) -> DataFrame:
@@ -240,8 +236,8 @@ def mape_weighting(df: DataFrame, method_col: str, tier_col: str, baseline: str)
     bw = F.lit(b["weighted_mape"] if b else None).cast("double")
     bu = F.lit(b["unweighted_mape"] if b else None).cast("double")
     return m.select(method_col, "weighted_mape", "unweighted_mape",
-                    ((bw - F.col("weighted_mape")) / bw * 100).alias("weighted_gain_pct"),
-                    ((bu - F.col("unweighted_mape")) / bu * 100).alias("unweighted_gain_pct"))
+                    (F.try_divide(bw - F.col("weighted_mape"), bw) * 100).alias("weighted_gain_pct"),
+                    (F.try_divide(bu - F.col("unweighted_mape"), bu) * 100).alias("unweighted_gain_pct"))
 
 
 def method_comparison(df: DataFrame, method_col: str, baseline: str) -> DataFrame:
@@ -255,7 +251,7 @@ def method_comparison(df: DataFrame, method_col: str, baseline: str) -> DataFram
     w = Window.partitionBy()  # runs over one row per method
     return m.select(method_col, "n", "mape", "mae", "r2",
                     F.when(F.col("mape") == bm, F.lit(0.0))
-                     .otherwise((bm - F.col("mape")) / bm * 100).alias("vs_baseline_pct"),
+                     .otherwise(F.try_divide(bm - F.col("mape"), bm) * 100).alias("vs_baseline_pct"),
                     (F.col("mape") == F.min("mape").over(w)).alias("is_best"))
 
 
@@ -273,13 +269,13 @@ def ab_lift(df: DataFrame, method_col: str, tier_col: str, base: str, treat: str
                                   pick(base, "mae").alias("baseline_mae"), pick(treat, "mae").alias("topics_mae"),
                                   pick(base, "r2").alias("baseline_r2"), pick(treat, "r2").alias("topics_r2"))
     t = t.withColumn("mape_improvement_pct",
-                     (F.col("baseline_mape") - F.col("topics_mape")) / F.col("baseline_mape") * 100)
+                     F.try_divide(F.col("baseline_mape") - F.col("topics_mape"), F.col("baseline_mape")) * 100)
     overall = t.agg(F.lit("overall").alias(tier_col), F.sum("n_samples").alias("n_samples"),
                     F.avg("baseline_mape").alias("baseline_mape"), F.avg("topics_mape").alias("topics_mape"),
                     F.avg("baseline_mae").alias("baseline_mae"), F.avg("topics_mae").alias("topics_mae"),
                     F.avg("baseline_r2").alias("baseline_r2"), F.avg("topics_r2").alias("topics_r2"))
     overall = overall.withColumn("mape_improvement_pct",
-                                 (F.col("baseline_mape") - F.col("topics_mape")) / F.col("baseline_mape") * 100)
+                                 F.try_divide(F.col("baseline_mape") - F.col("topics_mape"), F.col("baseline_mape")) * 100)
     return t.unionByName(overall)
 
 

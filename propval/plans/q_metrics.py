@@ -17,7 +17,7 @@ from propval.functions import tiers
 from propval.operators import importance as IM
 from propval.operators import metrics as M
 from propval.operators import topic_reports as TR
-from propval.functions.mathx import quantile
+from propval.functions.quantiles import agg_with_quantiles
 from propval.operators.features import clip, hash_split
 from propval.operators.tags import explode_tags, tag_counts
 from propval.plans.oracle_fixtures import (IMPORTANCE_FEATURES, METHODS, N_TOPICS, tier_case, with_fx)
@@ -389,11 +389,9 @@ FROM fx_listings WHERE price IS NOT NULL""", ["fx_listings"]),
 def q_profile(spark, sf):
     """Row count, distinct ids, min/max and p1/p25/p50/p75/p99 of price (one pass)."""
     d = fx.listings(spark, sf).filter(F.col("price").isNotNull())
-    q = quantile("price", [0.01, 0.25, 0.5, 0.75, 0.99])
-    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cc_list_id").alias("n_ids"),
-                 F.min("price").alias("min_price"), F.max("price").alias("max_price"), q.alias("_q")) \
-            .select("n_rows", "n_ids", "min_price", "max_price",
-                    *[F.col("_q")[i].alias(n) for i, n in enumerate(["p01", "p25", "p50", "p75", "p99"])])
+    return agg_with_quantiles(d, [], [F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cc_list_id").alias("n_ids"),
+                                      F.min("price").alias("min_price"), F.max("price").alias("max_price")],
+                              {f"p{k:02d}": ("price", k / 100) for k in (1, 25, 50, 75, 99)})
 
 
 # ---------------------------------------------------------------- importance

@@ -287,7 +287,7 @@ def stratified_split(df: DataFrame, strata: str, id_col: str, train_frac: float
     # boundary bucket: the k-th row falls inside it
     bound = (hist.filter((F.col("_before") < F.col("_k")) & (F.col("_cum") >= F.col("_k")))
                  .select(strata, F.col("_b").alias("_bb"), (F.col("_k") - F.col("_before")).alias("_need")))
-    d = d.join(F.broadcast(bound), strata, "left")
+    d = d.join(bound, strata, "left")
     in_b = F.col("_b") == F.col("_bb")
     ranked = (d.filter(in_b)
                .withColumn("_r", F.row_number().over(Window.partitionBy(strata).orderBy("_h", id_col)))

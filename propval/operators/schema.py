@@ -25,7 +25,7 @@ def feature_availability(df: DataFrame, toggles=DEFAULT_TOGGLES) -> DataFrame:
                                                          F.col(f).isNotNull().cast("long").alias("nn"))
                                                 for f in uniq])).alias("_kv"))
                     .groupBy(F.col("_kv.feature").alias("feature")).agg(F.sum("_kv.nn").alias("n_non_null")))
-        out = defs.join(F.broadcast(counts), "feature", "left")   # one row per known feature
+        out = defs.join(counts, "feature", "left")   # one row per known feature
     else:
         out = defs.withColumn("n_non_null", F.lit(None).cast("long"))
     return out.select("toggle", "group", "feature", F.col("n_non_null").isNotNull().alias("present"),

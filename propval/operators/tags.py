@@ -131,7 +131,7 @@ def canonicalise(df: DataFrame, mapping: DataFrame, tags_col: str = "tags") -> D
     """
     long = df.select("property_id", F.explode_outer(tags_col).alias("tag"))
     m = mapping.select(F.col("tag").alias("_t"), "canonical")
-    j = long.join(F.broadcast(m), long.tag == m._t, "left")
+    j = long.join(m, long.tag == m._t, "left")
     out = j.groupBy("property_id").agg(
         F.array_sort(F.array_distinct(F.collect_list(F.coalesce("canonical", "tag")))).alias(tags_col))
     return out
@@ -149,8 +149,9 @@ def fuzzy_edges(vocab: DataFrame, threshold: int = 3) -> DataFrame:
     with an equi-join on length (each tag probes ``len-threshold ..
     len+threshold``) instead of a Cartesian product.
     """
-    a = vocab.select(F.col("tag").alias("a"), F.length("tag").alias("la"))
-    b = (vocab.select(F.col("tag").alias("b"), F.length("tag").alias("lb"))
+    folded = F.length(F.lower("tag"))                      # folding can change the length
+    a = vocab.select(F.col("tag").alias("a"), folded.alias("la"))
+    b = (vocab.select(F.col("tag").alias("b"), folded.alias("lb"))
               .withColumn("_d", F.explode(F.sequence(F.lit(-threshold), F.lit(threshold))))
               .withColumn("_la", F.col("lb") + F.col("_d")))
     j = a.join(b, a.la == b._la).filter(F.col("b") < F.col("a"))
@@ -159,8 +160,7 @@ def fuzzy_edges(vocab: DataFrame, threshold: int = 3) -> DataFrame:
              .filter(F.col("distance") >= 0))
 
 
-def fuzzy_canonical(tag_doc_counts: DataFrame, top: int = 2000, threshold: int = 3,
-                    max_rounds: int = 10000) -> DataFrame:
+def fuzzy_canonical(tag_doc_counts: DataFrame, top: int = 2000, threshold: int = 3) -> DataFrame:
     """Greedy canonical map of the ``top`` most frequent tags.
 
     In sorted order, a tag maps to the nearest earlier *canonical* tag within
@@ -175,9 +175,7 @@ def fuzzy_canonical(tag_doc_counts: DataFrame, top: int = 2000, threshold: int =
     spark = vocab.sparkSession
     decided = spark.createDataFrame([], "tag string, canonical string, is_canonical boolean")
     undecided = vocab
-    rounds = 0
-    while rounds < max_rounds:
-        rounds += 1
+    while not undecided.isEmpty():
         und = undecided.select(F.col("tag").alias("_u"))
         # tags whose earlier neighbours are all decided
         blocked = edges.join(und, edges.earlier == und._u, "left_semi").select("tag").distinct()
@@ -190,12 +188,10 @@ def fuzzy_canonical(tag_doc_counts: DataFrame, top: int = 2000, threshold: int =
                      .select("tag", F.coalesce("canonical", "tag").alias("canonical"),
                              F.col("canonical").isNull().alias("is_canonical")))
         step = step.checkpoint(eager=True)
-        if step.isEmpty():
-            break
+        if step.isEmpty():                                 # the earliest undecided tag is always ready
+            raise RuntimeError("no tag could be decided")
         decided = decided.unionByName(step).checkpoint(eager=True)
         undecided = undecided.join(step.select("tag"), "tag", "left_anti").checkpoint(eager=True)
-        if undecided.isEmpty():
-            break
     return decided.select("tag", "canonical")
 
 
@@ -228,7 +224,7 @@ def combo_counts(df: DataFrame, vocab: DataFrame, k: int, tags_col: str = "tags"
     """Counts of sorted k-combinations of each row's tags restricted to the
     vocabulary (semi join on the long form); partial aggregation map-side."""
     long = explode_tags(df, tags_col)
-    kept = long.join(F.broadcast(vocab.select("tag")), "tag", "left_semi")
+    kept = long.join(vocab.select("tag"), "tag", "left_semi")
     per = kept.groupBy("property_id").agg(F.array_sort(F.collect_set("tag")).alias("_t"))
     combos = per.select(F.explode(combinations(F.col("_t"), k)).alias("_c"))
     names = ["feature_1", "feature_2", "feature_3"][:k]
@@ -245,6 +241,15 @@ def top_combos(counts: DataFrame, n: int, k: int) -> DataFrame:
                                                   F.row_number().over(Window.orderBy(*order)).cast("string")))
 
 
+def set_flags(df: DataFrame, values=(), keep: str = "property_id") -> DataFrame:
+    """A wide frame as rows (keep, column_name, value): flags that are 1, and
+    the columns in ``values`` where they are not null."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value"), F.lit(c in values).alias("any"))
+                      for c in df.columns if c != keep])
+    shown = F.filter(cells, lambda x: x["value"].isNotNull() & (x["any"] | (x["value"] == 1)))
+    return df.select(keep, F.explode(shown).alias("x")).select(keep, "x.column_name", "x.value")
+
+
 def combo_indicators(df: DataFrame, definitions: list[tuple[str, list[str]]], tags_col: str = "tags",
                      keep=("property_id",)) -> DataFrame:
     """0/1 column per definition: all member tags present."""

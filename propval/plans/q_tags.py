@@ -60,15 +60,13 @@ _TOP = f"(SELECT tag FROM fx_tag_counts ORDER BY n_docs DESC, tag LIMIT {N_SINGL
 
 
 @query("q_tag_onehot", with_fx(f"""
-SELECT t.property_id, CAST(COALESCE(COLUMNS(* EXCLUDE (property_id)), 0) AS TINYINT)
-FROM (SELECT property_id FROM fx_tagged) t LEFT JOIN (
-  PIVOT (SELECT property_id, LEFT(REPLACE(tag, ' ', '_'), 50) AS col FROM fx_tag_long
-         WHERE tag IN {_TOP})
-  ON col USING COUNT(*) GROUP BY property_id) p USING (property_id)""", ["fx_tagged", "fx_tag_long", "fx_tag_counts"]))
+SELECT DISTINCT property_id, LEFT(REPLACE(tag, ' ', '_'), 50) AS column_name, CAST(1 AS DOUBLE) AS value
+FROM fx_tag_long WHERE tag IN {_TOP}""", ["fx_tag_long", "fx_tag_counts"]))
 def q_tag_onehot(spark, sf):
-    """Top-300 tags as 0/1 columns (vocabulary of bounded size)."""
+    """Top-300 tags as 0/1 columns (vocabulary of bounded size); the wide
+    frame is read back as (property_id, column_name, value), ones only."""
     vocab = [r.tag for r in _vocab(spark, sf).select("tag").collect()]
-    return TG.tag_onehot(fx.tagged(spark, sf), vocab)
+    return TG.set_flags(TG.tag_onehot(fx.tagged(spark, sf), vocab))
 
 
 def _combo_sql(k: int, n: int) -> str:
@@ -106,19 +104,27 @@ def q_triple_counts(spark, sf):
 
 
 @query("q_pair_onehot", with_fx(f"""
-SELECT t.property_id, CAST(COALESCE(COLUMNS(* EXCLUDE (property_id)), 0) AS TINYINT)
-FROM (SELECT property_id FROM fx_tagged) t LEFT JOIN (
-  PIVOT (
-    SELECT k.property_id, d.column_name FROM defs d
-    JOIN kept k1 ON k1.tag = d.feature_1 JOIN kept k ON k.property_id = k1.property_id AND k.tag = d.feature_2
-  ) ON column_name USING COUNT(*) GROUP BY property_id) p USING (property_id)""",
-    ["fx_tagged", "fx_tag_long", "fx_tag_counts"], [_KEPT, ("defs", _combo_sql(2, N_PAIRS))]))
+SELECT DISTINCT k.property_id, d.column_name, CAST(1 AS DOUBLE) AS value FROM defs d
+JOIN kept k1 ON k1.tag = d.feature_1 JOIN kept k ON k.property_id = k1.property_id AND k.tag = d.feature_2""",
+    ["fx_tag_long", "fx_tag_counts"], [_KEPT, ("defs", _combo_sql(2, N_PAIRS))]))
 def q_pair_onehot(spark, sf):
-    """0/1 indicator per top pair: both member tags present."""
-    vocab = _vocab(spark, sf)
+    """0/1 indicator per top pair: both member tags present (read back as
+    (property_id, column_name, value), ones only)."""
+    t = fx.tagged(spark, sf)
+    defs = TG.top_combos(TG.combo_counts(t, _vocab(spark, sf), 2), N_PAIRS, 2).collect()   # <= 20 rows
+    return TG.set_flags(TG.combo_indicators(t, [(r.column_name, [r.feature_1, r.feature_2]) for r in defs]))
+
+
+@query("q_triple_onehot", with_fx(f"""
+SELECT DISTINCT k.property_id, d.column_name, CAST(1 AS DOUBLE) AS value FROM defs d
+JOIN kept k1 ON k1.tag = d.feature_1 JOIN kept k2 ON k2.property_id = k1.property_id AND k2.tag = d.feature_2
+JOIN kept k ON k.property_id = k1.property_id AND k.tag = d.feature_3""",
+    ["fx_tag_long", "fx_tag_counts"], [_KEPT, ("defs", _combo_sql(3, N_TRIPLES))]))
+def q_triple_onehot(spark, sf):
+    """0/1 indicator per top triple: all member tags present (ones only)."""
     t = fx.tagged(spark, sf)
-    defs = TG.top_combos(TG.combo_counts(t, vocab, 2), N_PAIRS, 2).collect()   # <= 20 rows
-    return TG.combo_indicators(t, [(r.column_name, [r.feature_1, r.feature_2]) for r in defs])
+    defs = TG.top_combos(TG.combo_counts(t, _vocab(spark, sf), 3), N_TRIPLES, 3).collect()   # <= 20 rows
+    return TG.set_flags(TG.combo_indicators(t, [(r.column_name, [r.feature_1, r.feature_2, r.feature_3]) for r in defs]))
 
 
 @query("q_fuzzy_edges", with_fx(f"""
@@ -140,27 +146,29 @@ def q_fuzzy_canonical(spark, sf):
     return TG.fuzzy_canonical(counts, DEDUPE_TOP, DEDUPE_THRESHOLD)
 
 
+_WIDE = _COND + ["sale_price", "living_sqft"]
+
+
 @query("q_image_wide", rounded(with_fx(f"""
-SELECT w.*, c.* EXCLUDE (property_id), e.sale_price, e.living_sqft
-FROM (SELECT DISTINCT property_id FROM fx_image_tags) i
-JOIN (SELECT property_id, CAST(COALESCE(COLUMNS(* EXCLUDE (property_id)), 0) AS TINYINT) FROM (
-        PIVOT (SELECT property_id, LEFT(REPLACE(tag, ' ', '_'), 50) AS col FROM fx_image_tags
-               WHERE tag IN (SELECT tag FROM (SELECT tag, COUNT(DISTINCT property_id) AS n FROM fx_image_tags
-                                              GROUP BY tag) ORDER BY n DESC, tag LIMIT {N_SINGLES}))
-        ON col USING COUNT(DISTINCT property_id) GROUP BY property_id)) w USING (property_id)
-JOIN (SELECT property_id,
-        AVG(CASE WHEN image_type = 'Indoor' THEN granular_condition_num END) AS gran_c_in,
-        AVG(CASE WHEN image_type = 'Exterior' THEN granular_condition_num END) AS gran_c_ex,
-        AVG(granular_condition_num) AS gran_c,
-        AVG(CASE WHEN image_type = 'Indoor' THEN high_condition_num END) AS high_c_in,
-        AVG(CASE WHEN image_type = 'Exterior' THEN high_condition_num END) AS high_c_ex,
-        AVG(high_condition_num) AS high_c
-      FROM fx_image_tags GROUP BY property_id) c USING (property_id)
-LEFT JOIN fx_extract e USING (property_id)""", ["fx_image_tags", "fx_extract"]),
-    _COND + ["sale_price", "living_sqft"]))
+SELECT DISTINCT property_id, LEFT(REPLACE(tag, ' ', '_'), 50) AS column_name, CAST(1 AS DOUBLE) AS value FROM fx_image_tags
+WHERE tag IN (SELECT tag FROM (SELECT tag, COUNT(DISTINCT property_id) AS n FROM fx_image_tags GROUP BY tag) ORDER BY n DESC, tag LIMIT {N_SINGLES})
+UNION ALL
+SELECT property_id, column_name, value FROM (
+  SELECT c.*, CAST(e.sale_price AS DOUBLE) AS sale_price, CAST(e.living_sqft AS DOUBLE) AS living_sqft
+  FROM (SELECT property_id,
+          AVG(CASE WHEN image_type = 'Indoor' THEN granular_condition_num END) AS gran_c_in,
+          AVG(CASE WHEN image_type = 'Exterior' THEN granular_condition_num END) AS gran_c_ex,
+          AVG(granular_condition_num) AS gran_c,
+          AVG(CASE WHEN image_type = 'Indoor' THEN high_condition_num END) AS high_c_in,
+          AVG(CASE WHEN image_type = 'Exterior' THEN high_condition_num END) AS high_c_ex,
+          AVG(high_condition_num) AS high_c
+        FROM fx_image_tags GROUP BY property_id) c LEFT JOIN fx_extract e USING (property_id)) w
+CROSS JOIN LATERAL (VALUES {", ".join(f"('{c}', w.{c})" for c in _WIDE)}) v(column_name, value)
+WHERE value IS NOT NULL""", ["fx_image_tags", "fx_extract"]), ["value"]))
 def q_image_wide(spark, sf):
     """Expanded image table: top-300 tag flags + 6 condition scores next to
-    property columns (image LEFT JOIN extract)."""
+    property columns (image LEFT JOIN extract), read back as (property_id,
+    column_name, value): flags that are 1 and values that are there."""
     from propval.plans.q_extract import extract
     long = fx.image_tags(spark, sf)
     sets = long.groupBy("property_id").agg(F.array_sort(F.collect_set("tag")).alias("tags"))
@@ -168,4 +176,4 @@ def q_image_wide(spark, sf):
     flags = TG.tag_onehot(sets, vocab)
     cond = TG.condition_means_long(long)
     e = extract(spark, sf).select("property_id", "sale_price", "living_sqft")
-    return flags.join(cond, "property_id").join(e, "property_id", "left")
+    return TG.set_flags(flags.join(cond, "property_id").join(e, "property_id", "left"), values=_WIDE)

@@ -56,8 +56,9 @@ def query(name: str, oracle: str | None = None):
     """Decorator registering ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            from propval.session import ensure_checkpoint_dir
+            from propval.session import ensure_checkpoint_dir, workers_import
             ensure_checkpoint_dir(spark)   # iterative operators cut lineage with checkpoint()
+            workers_import(spark)
             return finish(fn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__

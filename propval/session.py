@@ -39,18 +39,31 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a fresh scratch folder is
-    created and registered.
+    ``spark.checkpoint.dir`` names a folder that all executors share and is
+    used as is.  Where it is unset, a local master (one machine, as in tests)
+    gets a scratch folder; on a cluster that is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        if not jdir.isDefined():
+            spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get()
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="propval-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it
+    (a launcher's PYTHONPATH on the executors comes after it)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])

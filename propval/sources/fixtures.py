@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propval.sources.tables import spread, table
+from propval.sources.tables import table
 
 # State code per nation key 0..24 (stand-in for SITUSSTATE).
 STATE_CODES = ["ca", "tx", "ny", "fl", "il", "pa", "oh", "ga", "wa", "nj",
@@ -195,8 +195,8 @@ def image_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     Line 5 carries a plural spelling and line 6 a hyphenated spelling of the
     part name, so that fuzzy canonicalisation has work to do.
     """
-    li = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount", "l_tax", "l_linestatus"))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount", "l_tax", "l_linestatus")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = li.join(p, li.l_partkey == p.p_partkey)
     ln = F.col("l_linenumber")
@@ -240,7 +240,7 @@ def parsed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("property_id")
     return per.select(
         k, F.when(k % 50 == 13, F.lit(None).cast("string"))
-            .when(k % 50 == 7, F.substring(text, 1, 30)).otherwise(text).alias("parsed_output"))
+            .when(k % 50 == 7, F.concat(F.lit("'"), text)).otherwise(text).alias("parsed_output"))
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +295,7 @@ def address(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing text: documents keyed by property id."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select(F.col("doc_id").alias("property_id"), F.col("text").alias("public_listing_comments"))
 
 

@@ -15,21 +15,3 @@ DRIVER_TABLES = ("region nation customer supplier part orders lineitem events "
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table as a lazily scanned DataFrame."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
-    """Register the input tables as temp views for ``spark.sql`` users."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the default parallelism when the frame has
-    fewer partitions (e.g. a single-row-group file feeding CPU-heavy text
-    work).  On large inputs, which already have more partitions than cores,
-    this is a no-op and adds no shuffle."""
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

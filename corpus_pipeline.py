@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from propval.llm import decontaminate, jaccard, mixing, quality, suffixes
 from propval.llm.store import written
+from propval.session import workers_import
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    workers_import(spark)
     return quality.kept_rows(docs)
 
 
@@ -59,6 +61,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written before the next one reads it."""
+    workers_import(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

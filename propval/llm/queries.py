@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propval.llm import decontaminate, hmm, jaccard, langid, licenses, mixing, quality, render, rotation, suffixes
+from propval.session import workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +17,10 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            workers_import(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

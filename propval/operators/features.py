@@ -347,6 +347,37 @@ def outlier_filter(df: DataFrame, price: str, tier_col: str = "price_tier",
     return kept, stats
 
 
+def outlier_filter_forest(df: DataFrame, price: str, features: list[str], id_col: str, tier_col: str = "price_tier",
+                          tiers=("very_low", "ultra_high"), contamination: float = 0.05, min_rows: int = 100,
+                          min_features: int = 3) -> tuple[DataFrame, DataFrame]:
+    """:func:`outlier_filter`, then an isolation forest in each extreme tier
+    that still has ``min_rows`` rows, over the features that df has (at least
+    ``min_features``).  Adds ``isolation_forest``, ``total_removed`` and
+    ``pct_removed`` to the statistics."""
+    from propval.operators.iforest import isolation_forest
+    kept, stats = outlier_filter(df, price, tier_col, tiers)
+    kept = kept.checkpoint(eager=True)                         # scored per tier and filtered
+    there = [f for f in features if f in kept.columns]
+    sizes = {r[0]: r[1] for r in stats.select(tier_col, "final").collect()}      # one row per extreme tier
+    marked = None
+    for t in tiers if len(there) >= min_features else ():
+        if sizes.get(t, 0) >= min_rows:
+            own = isolation_forest(kept.filter(F.col(tier_col) == t), there, id_col, contamination=contamination)
+            out = own.filter("is_outlier").select(id_col, F.lit(t).alias(tier_col))
+            marked = out if marked is None else marked.unionByName(out)
+    if marked is None:
+        removed = stats.select(tier_col, F.lit(0).cast("long").alias("isolation_forest"))
+    else:
+        marked = marked.checkpoint(eager=True)
+        kept = kept.join(marked, [id_col, tier_col], "left_anti")
+        removed = marked.groupBy(tier_col).agg(F.count("*").alias("isolation_forest"))
+    stats = (stats.join(removed, tier_col, "left").fillna(0, subset=["isolation_forest"])
+             .withColumn("final", F.col("final") - F.col("isolation_forest"))
+             .withColumn("total_removed", F.col("original") - F.col("final"))
+             .withColumn("pct_removed", F.try_divide(F.col("total_removed"), F.col("original")) * 100))
+    return kept, stats
+
+
 # --------------------------------------------------------------------------
 # Geo clusters and leakage-safe target encoding
 # --------------------------------------------------------------------------

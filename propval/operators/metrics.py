@@ -255,6 +255,16 @@ def method_comparison(df: DataFrame, method_col: str, baseline: str) -> DataFram
                     (F.col("mape") == F.min("mape").over(w)).alias("is_best"))
 
 
+def method_by_tier(df: DataFrame, method_col: str, tier_col: str, methods: list[str]) -> DataFrame:
+    """MAPE of every method per tier (one column each) and the tier's best
+    method (the first of ``methods`` among equals)."""
+    a, p = F.col("actual"), F.col("predicted")
+    piv = (df.groupBy(tier_col).pivot(method_col, methods).agg(F.avg(F.abs(F.try_divide(a - p, a)) * 100))
+             .withColumnsRenamed({m: f"mape_{m.lower()}" for m in methods}))
+    cells = F.array(*[F.struct(F.col(f"mape_{m.lower()}").alias("mape"), F.lit(i).alias("i"), F.lit(m).alias("method")) for i, m in enumerate(methods)])
+    return piv.withColumn("best_method", F.array_min(F.filter(cells, lambda c: c["mape"].isNotNull()))["method"])
+
+
 def ab_lift(df: DataFrame, method_col: str, tier_col: str, base: str, treat: str) -> DataFrame:
     """Baseline vs treatment MAPE / MAE / R2 per tier, MAPE improvement, and
     an ``overall`` row from the tier means."""

@@ -16,7 +16,7 @@ def report_summary(preds: DataFrame, n_tiers: int, n_features: int, config_name:
     row = preds.agg(F.count(F.lit(1)).cast("double").alias("total_properties"),
                     F.count_distinct("state").cast("double").alias("states_included"),
                     _r2(a, p).alias("overall_r2"), F.avg(F.abs(a - p)).alias("overall_mae"),
-                    (F.avg(F.abs((a - p) / a)) * 100).alias("overall_mape"))
+                    (F.avg(F.abs(F.try_divide(a - p, a))) * 100).alias("overall_mape"))
     num = [(n, F.col(n)) for n in row.columns] + [("price_tiers_trained", F.lit(float(n_tiers))),
                                                    ("total_features", F.lit(float(n_features)))]
     text = [("configuration", config_name)] + [(f"toggle_{k}", "enabled" if v else "disabled")

@@ -40,7 +40,8 @@ def align_schema(df: DataFrame, feature_names: list[str], keep=()) -> DataFrame:
 
 
 def narrow_types(df: DataFrame, exclude=()) -> DataFrame:
-    """float64 -> float32; int64 -> int8 when all values are in {0, 1}, else int32.
+    """float64 -> float32; int64 -> int8 when all values are in {0, 1}, else
+    int32 where they fit.
 
     One aggregation (min / max per integer column) decides the integer casts.
     Id columns can be excluded (int32 would overflow on large key ranges)."""
@@ -52,6 +53,7 @@ def narrow_types(df: DataFrame, exclude=()) -> DataFrame:
     new = {c: F.col(c).cast("float") for c in dbls}
     for c in ints:
         lo, hi = bounds[f"{c}__min"], bounds[f"{c}__max"]
-        binary = lo is not None and lo >= 0 and hi <= 1
-        new[c] = F.col(c).cast("tinyint" if binary else "int")
+        if lo is None or lo < -(1 << 31) or hi >= 1 << 31:
+            continue                                           # int32 would overflow
+        new[c] = F.col(c).cast("tinyint" if lo >= 0 and hi <= 1 else "int")
     return df.withColumns(new)

@@ -317,6 +317,19 @@ def q_method_comparison(spark, sf):
     return M.method_comparison(method_predictions(spark, sf), "method", "LDA")
 
 
+_METHODS = ["BASELINE", "LDA", "NMF", "BERTOPIC"]
+
+
+@query("q_method_by_tier", rounded(with_fx(f"""
+SELECT price_tier, {", ".join(f"MAX(m) FILTER (WHERE method = '{m}') AS mape_{m.lower()}" for m in _METHODS)},
+  first(method ORDER BY m, list_position({_METHODS}, method)) AS best_method
+FROM (SELECT price_tier, method, AVG({_APE}) AS m FROM fx_method_predictions GROUP BY 1, 2) t GROUP BY price_tier""",
+    ["fx_method_predictions"]), [f"mape_{m.lower()}" for m in _METHODS]))
+def q_method_by_tier(spark, sf):
+    """MAPE per tier and method, and each tier's best method."""
+    return M.method_by_tier(method_predictions(spark, sf), "method", "price_tier", _METHODS)
+
+
 _AB_D = ["baseline_mape", "topics_mape", "baseline_mae", "topics_mae", "baseline_r2", "topics_r2",
          "mape_improvement_pct"]
 

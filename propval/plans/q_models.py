@@ -6,12 +6,17 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from propval.functions import tiers
 from propval.operators import features as FE
+from propval.operators import importance as IM
 from propval.operators import metrics as M
 from propval.operators import models as MD
+from propval.operators import schema as S
 from propval.operators import tags as TG
 from propval.operators import text as TX
 from propval.operators import topics as TP
@@ -21,6 +26,8 @@ from propval.plans.q_features import prior_sale_input
 from propval.plans.q_metrics import topic_table
 from propval.plans.registry import query
 from propval.sources import fixtures as fx
+from propval.sources.artifacts import load_artifact, save_artifact
+from propval.sources.io import output_dir
 
 POOLED_FEATURES = ["living_sqft", "lot_sqft", "year_built", "bedrooms", "full_baths", "garage_spaces",
                    "latitude", "longitude", "sqft_per_bedroom", "lot_to_living_ratio", "property_age", "log_sqft",
@@ -132,6 +139,47 @@ def q_isolation_forest(spark, sf):
     return isolation_forest(e, ["living_sqft", "lot_sqft", "sale_price", "year_built"], "property_id")
 
 
+@query("q_outlier_filter_forest")
+def q_outlier_filter_forest(spark, sf):
+    """Statistics of the sequential outlier filter with the isolation forest
+    as its last step, per extreme tier."""
+    _, stats = FE.outlier_filter_forest(_shared(pooled_frame(spark, sf)), "sale_price", ["living_sqft", "lot_sqft", "sale_price", "year_built"], "property_id")
+    return stats
+
+
+@query("q_model_importance")
+def q_model_importance(spark, sf):
+    """Feature importances of a boosted model per router tier (at least 50
+    training rows), ranked with shares; n_test weighs tiers."""
+    d = _shared(listing_frame(spark, sf))
+    train, test = _split(d, "cc_list_id", 0.8)
+    n = {(r[0], r[1]): r[2] for r in d.groupBy("router_tier", FE.hash_split(F.col("cc_list_id"), 0.8)).count().collect()}   # two rows per tier
+
+    def fit(tier, tr, _):
+        tr, _ = MD.prepare_features(tr, tr, LISTING_FEATURES)
+        return MD.feature_importances(MD.gbt_price(tr, LISTING_FEATURES, "price", max_iter=20), LISTING_FEATURES)
+    found = MD.train_tiers({t: (train.filter(F.col("router_tier") == t), None) for t in (0, 1, 2) if n.get((t, True), 0) >= 50}, fit)
+    rows = [(t, f, x, n.get((t, False), 0)) for t, own in sorted(found.items()) for f, x in own]
+    return IM.importance_rank(spark.createDataFrame(rows, "tier int, feature string, importance double, n_test long"))
+
+
+@query("q_score_listings")
+def q_score_listings(spark, sf):
+    """Batch scoring: fit and save a model with its feature list, load it,
+    align the listings to it, fill, predict and label the confidence."""
+    d = listing_frame(spark, sf)
+    train, test = _split(d, "cc_list_id", 0.8)
+    medians = FE.column_medians(train, LISTING_FEATURES)
+    model = Pipeline(stages=[VectorAssembler(inputCols=LISTING_FEATURES, outputCol="features", handleInvalid="keep"),
+                             GBTRegressor(featuresCol="features", labelCol="price", maxIter=20, maxDepth=6, seed=42)]).fit(FE.fill_medians(train, medians))
+    path = save_artifact(spark, output_dir(spark, "listing-model"), model, {"features": LISTING_FEATURES, "medians": medians})
+    loaded, meta = load_artifact(spark, path)
+    rows = FE.fill_medians(test.select("cc_list_id", "price", *[c for c in meta["features"] if c in test.columns]), meta["medians"])
+    aligned = S.align_schema(rows, meta["features"], keep=("cc_list_id", "price"))
+    return loaded.transform(aligned).select("cc_list_id", F.col("price").alias("actual"), F.col("prediction").alias("predicted"),
+                                            M.confidence_label(F.col("prediction")).alias("confidence"))
+
+
 @query("q_tier_router")
 def q_tier_router(spark, sf):
     """3-class router (random forest) on listing features; test rows."""
@@ -169,12 +217,12 @@ def q_lda_topics(spark, sf):
 
 @query("q_lda_split")
 def q_lda_split(spark, sf):
-    """Vocabulary and LDA (k=8) fitted on the train split of the combined
-    documents, applied to every document."""
+    """Vocabulary (200 terms) and LDA (k=8, word prior 0.01) fitted on the
+    train split of the combined documents, applied to every document."""
     both = TX.documents_with_comments(fx.comments(spark, sf), fx.parsed_output(spark, sf))
     docs = TX.combined_document(both, "public_listing_comments", "parsed_output", "B")
     train = docs.filter(FE.hash_split(F.col("property_id"), 0.7))
-    out, _ = TP.lda_topics(docs, 8, 150, "tokens", binary=False, fit_on=train)
+    out, _ = TP.lda_topics(docs, 8, 200, "tokens", binary=False, fit_on=train, word_prior=0.01)
     return out
 
 
@@ -249,9 +297,11 @@ def _run_tiers(d, feats, rounds):
 @query("q_ab_experiment")
 def q_ab_experiment(spark, sf):
     """Per tier: baseline features vs + LDA image topics (median boosting);
-    baseline / topics MAPE, MAE, R2 and lift."""
+    baseline / topics MAPE, MAE, R2 and lift.  Topics are fitted on the train
+    split alone."""
     base = _shared(pooled_frame(spark, sf).withColumn("price_tier", tiers.price_tier(F.col("sale_price"))))
-    topics, _ = TP.lda_topics(_tag_docs(spark, sf), 8, 500, "tags")
+    docs = _tag_docs(spark, sf)
+    topics, _ = TP.lda_topics(docs, 8, 500, "tags", fit_on=docs.filter(FE.hash_split(F.col("property_id"), 0.7)), word_prior=0.01)
     with_t = _shared(base.join(topics, "property_id", "left"))
     tcols = [f"topic_{i}" for i in range(1, 9)]
     a = _run_tiers(base, POOLED_FEATURES, TIER_ROUNDS).withColumn("method", F.lit("baseline"))
@@ -268,7 +318,8 @@ def q_topic_experiment(spark, sf):
     from pyspark.ml.feature import PCA
     base = _shared(pooled_frame(spark, sf))
     k = 8
-    lda, _ = TP.lda_topics(_tag_docs(spark, sf), k, 500, "tags")
+    docs = _tag_docs(spark, sf)
+    lda, _ = TP.lda_topics(docs, k, 500, "tags", fit_on=docs.filter(FE.hash_split(F.col("property_id"), 0.7)), word_prior=0.01)
     long, v = _tag_tfidf(spark, sf)
     nmf = TP.nmf_topics(long, k, v, n_iter=20)
     vec = (long.groupBy("property_id").agg(F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("_e"))

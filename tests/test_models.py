@@ -106,3 +106,34 @@ def test_impute_all_null_column_stays_null(spark):
     out = FE.impute_median(df, ["a", "b"]).orderBy("id").collect()
     assert [r.a for r in out] == [None, None, None]
     assert [r.b for r in out] == [1.0, 2.0, 3.0]
+
+
+def test_model_importance_and_scoring(spark, sf):
+    from propval.plans import registry
+    registry.load_all()
+    rows = registry.QUERIES["q_model_importance"](spark, sf).collect()
+    total = {}
+    for r in rows:
+        total[r.tier] = total.get(r.tier, 0) + r.importance
+    assert total and all(abs(x - 1) < 1e-4 for x in total.values())
+    scored = registry.QUERIES["q_score_listings"](spark, sf).toPandas()
+    ape = ((scored.actual - scored.predicted).abs() / scored.actual).median()
+    flat = ((scored.actual - scored.actual.median()).abs() / scored.actual).median()
+    assert ape < flat and scored.confidence.notna().all()
+
+
+def test_outlier_filter_forest_step_and_guards(spark):
+    from propval.operators import features as FE
+    rows = [(i, "very_low", 100000.0 + i % 97, 1000.0 + i % 13, 5000.0 + i % 7, 1950 + i % 60) for i in range(400)]
+    rows += [(1000 + i, "ultra_high", 2e6 + i, 4000.0 + i, 9000.0, 1990) for i in range(60)]
+    rows += [(2000 + i, "mid", 5e5, 2000.0, 6000.0, 1980) for i in range(20)]
+    df = spark.createDataFrame(rows, "property_id long, price_tier string, sale_price double, living_sqft double, lot_sqft double, year_built int")
+    kept, stats = FE.outlier_filter_forest(df, "sale_price", ["living_sqft", "lot_sqft", "sale_price"], "property_id")
+    s = {r.price_tier: r for r in stats.collect()}
+    after = s["very_low"].original - s["very_low"].price_per_sqft - s["very_low"].sqft_per_dollar - s["very_low"].lot_sqft - s["very_low"].year_built
+    assert 0.01 * after <= s["very_low"].isolation_forest <= 0.06 * after
+    assert s["ultra_high"].isolation_forest == 0                  # fewer than 100 rows
+    assert s["very_low"].total_removed == s["very_low"].original - s["very_low"].final
+    assert kept.count() == s["very_low"].final + s["ultra_high"].final + 20
+    _, few = FE.outlier_filter_forest(df, "sale_price", ["living_sqft", "nothing"], "property_id")
+    assert sum(r.isolation_forest for r in few.collect()) == 0    # fewer than 3 features

@@ -14,7 +14,6 @@ from propval.operators import metrics as M
 from propval.operators import reports as R
 from propval.operators import schema as S
 from propval.operators import topic_reports as TR
-from propval.operators.tags import explode_tags
 from propval.plans.oracle_fixtures import tier_case, with_fx
 from propval.plans.q_extract import extract
 from propval.plans.q_features import OUTLIER_CTES, prior_sale_input
@@ -259,4 +258,4 @@ def q_topic_coherence(spark, sf):
     (document-wide window): NPMI vectors and their cosine to the topic sum."""
     from propval.operators.topics import cv_coherence
     t = fx.tagged(spark, sf)
-    return cv_coherence(topic_terms(spark, sf), explode_tags(t), t.count(), 10)
+    return cv_coherence(topic_terms(spark, sf), t, 10)

@@ -68,7 +68,7 @@ def isolation_forest(df: DataFrame, features: list[str], id_col: str, n_trees: i
     """``(id, anomaly_score, is_outlier)``; NULL features are filled with medians."""
     from propval.operators.features import column_medians, fill_medians
     d = fill_medians(df.select(id_col, *features), column_medians(df, features))
-    d = d.select(id_col, *[F.col(f).cast("double").alias(f) for f in features])
+    d = d.select(id_col, *[F.col(f).cast("double").alias(f) for f in features]).checkpoint(eager=True)   # read for count, samples and scores
     n = d.count()
     if n == 0:
         return df.sparkSession.createDataFrame([], f"{id_col} long, anomaly_score double, is_outlier boolean")
@@ -111,6 +111,6 @@ def isolation_forest(df: DataFrame, features: list[str], id_col: str, n_trees: i
             path = total / max(len(fr), 1)
             yield pd.DataFrame({id_col: pdf[id_col], "anomaly_score": np.power(2.0, -path / c_n)})
 
-    scored = d.mapInPandas(score, f"{id_col} long, anomaly_score double")
+    scored = d.mapInPandas(score, f"{id_col} long, anomaly_score double").checkpoint(eager=True)         # read for the cut and the result
     cut = quantile_row(scored, {"c": ("anomaly_score", 1 - contamination)})["c"]
     return scored.withColumn("is_outlier", F.col("anomaly_score") > F.lit(cut))

@@ -67,13 +67,11 @@ def q_county_join(spark, sf):
     a = fx.assessor(spark, sf).select("propertyid", "fips")
     v = fx.votes(spark, sf)
     padded = X.county_join(a, v, pad=True).select(
-        "propertyid", county_fips(F.col("fips")).alias("county_key"),
-        F.col("v.county_name").alias("county_name"), F.col("v.votes_gop").alias("votes_gop"))
-    unpadded = X.county_join(a, v, pad=False).select(
-        F.col("propertyid").alias("_pid"), F.col("v.county_name").alias("county_name_unpadded"))
-    return (padded.join(unpadded, padded.propertyid == unpadded._pid)
-                  .select(F.col("propertyid").alias("property_id"), "county_key", "county_name",
-                          "votes_gop", "county_name_unpadded"))
+        "propertyid", "fips", county_fips(F.col("fips")).alias("county_key"),
+        F.col("v.county_name").alias("name"), F.col("v.votes_gop").alias("gop"))
+    return X.county_join(padded, v, pad=False).select(
+        F.col("propertyid").alias("property_id"), "county_key", F.col("name").alias("county_name"),
+        F.col("gop").alias("votes_gop"), F.col("v.county_name").alias("county_name_unpadded"))
 
 
 def _tier_case(col: str, pooled: bool = False) -> str:

@@ -20,7 +20,7 @@ from propval.operators import topic_reports as TR
 from propval.functions.quantiles import agg_with_quantiles
 from propval.operators.features import clip, hash_split
 from propval.operators.tags import explode_tags, tag_counts
-from propval.plans.oracle_fixtures import (IMPORTANCE_FEATURES, METHODS, N_TOPICS, tier_case, with_fx)
+from propval.plans.oracle_fixtures import IMPORTANCE_FEATURES, METHODS, N_TOPICS, with_fx
 from propval.plans.q_extract import extract
 from propval.plans.registry import query, rounded, round_half_up
 from propval.sources import fixtures as fx
@@ -475,6 +475,19 @@ _TC = [f"topic_{i}" for i in range(1, N_TOPICS + 1)]
 _DOM = f"CAST(list_position([{', '.join(_TC)}], list_max([{', '.join(_TC)}])) AS INTEGER)"
 
 
+@query("q_class_tfidf", rounded(with_fx("""
+SELECT tf.topic, tf.tag AS term, tf.tf * ln(1 + a.a / tot.f) AS weight
+FROM tf JOIN (SELECT tag, CAST(SUM(tf) AS DOUBLE) AS f FROM tf GROUP BY tag) tot USING (tag),
+     (SELECT CAST(SUM(tf) AS DOUBLE) / COUNT(DISTINCT topic) AS a FROM tf) a""", ["fx_topics", "fx_tag_long"],
+    [("tf", f"""SELECT d.topic, l.tag, COUNT(*) AS tf FROM fx_tag_long l
+                JOIN (SELECT property_id, {_DOM} AS topic FROM fx_topics) d USING (property_id) GROUP BY 1, 2""")]), ["weight"]))
+def q_class_tfidf(spark, sf):
+    """Class TF-IDF of the tags of each dominant topic's documents."""
+    from propval.operators.topics import class_tfidf
+    topics = topic_table(spark, sf).select("property_id", F.col("dominant_topic").cast("int").alias("topic"))
+    return class_tfidf(explode_tags(fx.tagged(spark, sf)), topics, "property_id", "tag")
+
+
 @query("q_dominant_topic", rounded(with_fx(f"SELECT property_id, {', '.join(_TC)}, {_DOM} AS dominant_topic FROM fx_topics",
                                            ["fx_topics"]), _TC))
 def q_dominant_topic(spark, sf):

@@ -146,6 +146,15 @@ def q_fuzzy_canonical(spark, sf):
     return TG.fuzzy_canonical(counts, DEDUPE_TOP, DEDUPE_THRESHOLD)
 
 
+@query("q_canonical_tags")
+def q_canonical_tags(spark, sf):
+    """Every property's tags in canonical spelling: the fuzzy map applied to
+    the tag sets that feed flags, pairs and topics."""
+    t = fx.tagged(spark, sf)
+    mapping = TG.fuzzy_canonical(TG.tag_counts(TG.explode_tags(t)), DEDUPE_TOP, DEDUPE_THRESHOLD)
+    return TG.canonicalise(t, mapping).select("property_id", F.array_join("tags", "|").alias("tags_text"))
+
+
 _WIDE = _COND + ["sale_price", "living_sqft"]
 
 

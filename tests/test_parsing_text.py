@@ -37,3 +37,14 @@ def test_combinations(spark):
     r = df.select(TG.combinations(F.col("t"), 2).alias("p"), TG.combinations(F.col("t"), 3).alias("q")).collect()
     assert len(r[0].p) == 6 and len(r[0].q) == 4 and ["a", "b", "d"] in r[0].q
     assert r[1].p == [] and r[2].q == []
+
+
+def test_canonical_tags_use_the_fuzzy_map(spark, sf):
+    from propval.plans import registry
+    registry.load_all()
+    mapping = {r.tag: r.canonical for r in registry.QUERIES["q_fuzzy_canonical"](spark, sf).collect()}
+    assert all(mapping[c] == c for c in mapping.values())
+    raw = {r.property_id: r.tags_text for r in registry.QUERIES["q_parse_tags"](spark, sf).collect()}
+    got = {r.property_id: r.tags_text for r in registry.QUERIES["q_canonical_tags"](spark, sf).collect()}
+    want = {k: "|".join(sorted({mapping.get(t, t) for t in v.split("|") if t})) for k, v in raw.items()}
+    assert got == want

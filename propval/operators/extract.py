@@ -266,6 +266,9 @@ def price_bounds(df: DataFrame, price: str, low=None, high=None) -> DataFrame:
 # Samples and set operations
 # --------------------------------------------------------------------------
 
+SALTS = 32               # parts of a group in the first round of a sample
+
+
 def hash_order(id_col: Column, seed: int = 42) -> Column:
     """Repeatable pseudo-random order key: ``md5(id || '|' || seed)``."""
     return F.md5(F.concat(id_col.cast("string"), F.lit(f"|{seed}")))
@@ -276,11 +279,17 @@ def sample_per_group(df: DataFrame, group_col: str, n: int, id_col: str, seed: i
 
     The order is a hash of the id, so the sample is repeatable and does not
     depend on partitioning.  ``row_number() <= n`` lets Spark insert a
-    partial ``WindowGroupLimit`` before the shuffle: a hot group sends at
-    most ``n`` rows per map task, never the whole group.
+    partial ``WindowGroupLimit`` before the shuffle, so a map task sends at
+    most ``n`` rows of a group; the first round does that within ``SALTS``
+    parts of each group, so the task that ends a hot group gets at most
+    ``SALTS * n`` rows, however many tasks feed it.
     """
-    w = Window.partitionBy(group_col).orderBy(hash_order(F.col(id_col), seed), F.col(id_col))
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    order = [hash_order(F.col(id_col), seed), F.col(id_col)]
+    salted = Window.partitionBy(group_col, "_salt").orderBy(*order)
+    first = (df.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)))
+               .withColumn("_rn", F.row_number().over(salted)).filter(F.col("_rn") <= n))
+    whole = Window.partitionBy(group_col).orderBy(*order)
+    return first.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= n).drop("_rn", "_salt")
 
 
 def stratified_extract(base: DataFrame, n_per_state: int = 1000, threshold: float = 800000,

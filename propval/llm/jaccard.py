@@ -5,15 +5,18 @@ Documents are sets of distinct 3-word shingles; two link when 100 * shared
 connected components of all links:
 
 1. *Classes.*  Equal sets are one class; the rest works on classes.
-2. *Regions.*  The first pivots are single shingles, in one order for all:
-   those that many documents have come last (a bounded list of them, with
-   approximate counts; any order gives the same links), then by hash.  The
-   nearest pivot of a set is its first shingle, and whoever is within r of it
-   may lack up to a tenth of its shingles, so it is replicated to the regions
-   of its first floor(n / 10) + 1 pivots: two sets within r share one of them.
+2. *Regions.*  In the metric of differing shingles, two sets that link differ
+   in at most (n + m) / 19 shingles.  The first pivot is the empty set: it
+   parts the sets by size into bands, and by the triangle inequality a set
+   links only into the next band if its size is within a tenth of the edge;
+   it is replicated there.  In a band with at most D differing shingles the
+   hash space is cut into D + 1 slices.  The differences can't touch every
+   slice, so linked sets agree on one: each part of a set in a slice is a
+   pivot at distance 0, and its region are the sets with that very part.
    (Whole documents as first pivots can't part a corpus: unrelated documents
    are all at distance 1 of every pivot, so each would go to every region.)
-   Regions of one class are done; regions with equal members are one.
+   A class without another of a size within a tenth is done in a region, and
+   regions with equal members are one.
 3. *Recursion.*  In a region, classes are compared by the counts of their
    shingles in 64 hash ranges.  The weighted Jaccard distance of the counts is
    a metric and never more than the distance of the sets.  A region of more
@@ -21,11 +24,12 @@ connected components of all links:
    to the Voronoi cell of its nearest pivot and to every cell whose pivot is
    at most 2 r farther (triangle inequality), and cells split again.  A region
    that pivots don't part is joined block by block.
-4. *Links.*  In small regions every class is linked with the first pivot near
-   enough; sets decide.  Then, in regions that still hold several
-   components, all pairs across components that the distance allows are
-   compared, again with the sets.  So no link between components is missed,
-   and no group emits all its pairs.
+4. *Links.*  In small regions the class nearest to the median of the counts
+   is compared with the others, then the same among those not near it; sets
+   decide.  Then every class of a region that still holds several components
+   is compared with the nearest of another, as long as that finds links, and
+   at last all pairs across components that the distance allows.  So no link
+   between components is missed, and no group emits all its pairs.
 
 Defined results: a null or empty text has an empty set, is linked with
 nothing and is its own component; null ids link like others, and a component
@@ -51,9 +55,6 @@ from propval.llm.store import written
 SHINGLE = 3
 RADIUS = 0.1
 RANGES = 64              # hash ranges of the counts
-FREQUENT = 100_000       # shingles of the list of frequent ones
-FREQUENT_IN = 6          # documents of one flush that make a shingle a candidate for it
-FLUSH_BYTES = 16 << 20
 LEAF = 2048              # classes of a region that one task compares
 PIVOTS = 16
 CARRY = 200_000          # classes of a region whose members are compared with other regions'
@@ -75,7 +76,8 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         owners.append(owner[at][short])
         keys.append(key[short])
     owner, key = np.concatenate(owners), np.concatenate(keys)
-    order = np.lexsort((key, owner))
+    order = np.argsort(key)
+    order = order[np.argsort(owner[order].astype(np.uint16 if docs < 1 << 16 else np.int64), kind="stable")]
     owner, key = owner[order], key[order]
     new = np.ones(len(key), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
@@ -97,82 +99,80 @@ def members(df: DataFrame, text: str = "text") -> DataFrame:
     return tb.append_columns(df, text, MEMBER, of)
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that several classes of one flush have, with their counts."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    size = 0
+#: Lower edges of the size bands.
+EDGES = np.unique(np.ceil(2.0 ** (np.arange(80) / 2)).astype(np.int64))
 
-    def flush():
-        cls, start, n = (np.concatenate(x) for x in ([h[2] for h in held], [np.zeros(0, np.int64)], [h[1] for h in held]))
-        key = np.concatenate([h[0] for h in held])
-        first = np.zeros(len(cls), bool)
-        first[np.unique(cls, return_index=True)[1]] = True           # copies count once
-        keys, count = np.unique(key[np.repeat(first, n)], return_counts=True)
-        many = count >= FREQUENT_IN
-        return pa.RecordBatch.from_arrays([pa.array(keys[many].view(np.int64)), pa.array(count[many])], names=["shingle", "n"])
 
-    for part in tb.slices(batches, "text"):
-        _, key, n, cls = shingles(part.column("text"))
-        held.append((key, n, cls))
-        size += part.column("text").nbytes
-        if size >= FLUSH_BYTES:
-            yield flush()
-            held, size = [], 0
-    if held:
-        yield flush()
-
-
-def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """At most FREQUENT shingles that many classes have, and their ranks."""
-    rows = (texts.mapInArrow(_frequent, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas())
-    key = rows["shingle"].to_numpy(np.int64).view(tb.U)
-    count = rows["n"].to_numpy(np.int64)
-    order = np.argsort(key)
-    return key[order], count[order]
+def _parts(n: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Slices in which sets of the band can't all differ."""
+    return 2 * (EDGES[band + 1] - 1) // 19 + 1
 
 
-PREFIX = "shingle long, class long, n long"
+def slice_regions(owner: np.ndarray, key: np.ndarray, n: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(set number, region) of sets in a band each: a region for every part
+    of the set in a slice.  A part without shingles counts only where the
+    others are too few to hold a part without difference."""
+    m = _parts(n, band)
+    piece = ((key >> tb.U(32)) * m.astype(tb.U)[owner]) >> tb.U(32)
+    first = np.ones(len(key), bool)
+    first[1:] = (owner[1:] != owner[:-1]) | (piece[1:] != piece[:-1])
+    at = np.flatnonzero(first)
+    run = np.concatenate([[tb.U(0)], np.cumsum(tb.mix(key + tb.BASE))])
+    name = (band.astype(tb.U)[owner[at]] << tb.U(40)) + piece[at]
+    region = tb.mix((run[np.append(at[1:], len(key))] - run[at]) ^ tb.mix(name))
+    own = owner[at]
+    filled = np.bincount(own, minlength=len(n))
+    owners, regions = [own], [region]
+    for i in np.flatnonzero((filled < m) & (n > 0)):
+        if filled[i] <= m[i] - 1:                              # at most D parts: an empty one may be the one that agrees
+            free = np.setdiff1d(np.arange(m[i]), piece[at][own == i].astype(np.int64)).astype(tb.U)
+            owners.append(np.full(len(free), i))
+            regions.append(tb.mix(tb.mix((tb.U(int(band[i])) << tb.U(40)) + free) + tb.U(1)))
+    return np.concatenate(owners), np.concatenate(regions)
 
 
-def prefixes(texts: DataFrame, often: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(shingle, class, n): the regions that each class goes to."""
-    keys, counts = texts.sparkSession.sparkContext.broadcast(often[0]), texts.sparkSession.sparkContext.broadcast(often[1])
+PARTS = "part long, class long, n long"
 
-    def run(batches):
-        for part in tb.slices(batches, "text"):
-            owner, key, n, cls = shingles(part.column("text"))
-            rank = np.zeros(len(key), np.int64)
-            if len(keys.value) and len(key):
-                at = np.minimum(np.searchsorted(keys.value, key), len(keys.value) - 1)
-                rank = np.where(keys.value[at] == key, counts.value[at], 0)
-            first = np.zeros(len(cls), bool)
-            first[np.unique(cls, return_index=True)[1]] = True
-            use = np.flatnonzero(first[owner])
-            use = use[np.lexsort((key[use], rank[use], owner[use]))]
-            own = owner[use]
-            begin = np.searchsorted(own, own, "left")
-            use = use[np.arange(len(use)) - begin < n[own] // 10 + 1]
-            own = owner[use]
-            yield pa.RecordBatch.from_arrays([pa.array(key[use].view(np.int64)), pa.array(cls[own]), pa.array(n[own])],
-                                             names=["shingle", "class", "n"])
-    return texts.mapInArrow(run, PREFIX)
+
+def _band_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, class, n): the regions of each class in its band, and in the
+    next one if its size is within a tenth of that."""
+    for part in tb.slices(batches, "text"):
+        owner, key, n, cls = shingles(part.column("text"))
+        once = np.zeros(len(cls), bool)
+        once[np.unique(cls, return_index=True)[1]] = True          # copies have one region
+        band = np.searchsorted(EDGES, np.maximum(n, 1), "right") - 1
+        for up in (0, 1):
+            use = once & (n > 0) & (_parts(n, band + up) > 1)      # one part: only copies link
+            if up:
+                use &= 10 * n >= 9 * EDGES[band + 1]
+            if use.any():
+                keep = use[owner]
+                number = np.cumsum(use) - 1
+                who, region = slice_regions(number[owner[keep]], key[keep], n[use], band[use] + up)
+                yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), pa.array(cls[use][who]), pa.array(n[use][who])], names=["part", "class", "n"])
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (shingle, class, n) sorted by shingle and class: the regions with
+    """From (part, class, n) sorted by part and class: the regions with
     two classes or more, called by a hash of their members.  A region is held
     until it ends; one of more than CARRY classes goes out under its own name."""
     names = ["region", "class", "n"]
-    held = None              # rows of the last shingle so far
-    large = None             # the shingle of a region that was too long to hold
+    held = None              # rows of the last region so far
+    large = None             # the name of a region that was too long to hold
 
-    def out(shingle, cls, n, name=None):
+    def out(part, cls, n, name=None):
         once = np.ones(len(cls), bool)
-        once[1:] = (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])
-        shingle, cls, n = shingle[once], cls[once], n[once]
+        once[1:] = (part[1:] != part[:-1]) | (cls[1:] != cls[:-1])
+        part, cls, n = part[once], cls[once], n[once]
+        order = np.lexsort((cls, n, part))
+        part, cls, n = part[order], cls[order], n[order]
+        near = np.zeros(len(cls) + 1, bool)                        # to the one before in size
+        near[1:-1] = (part[1:] == part[:-1]) & (10 * n[:-1] >= 9 * n[1:])
+        useful = near[1:] | near[:-1] if name is None else np.ones(len(cls), bool)
+        part, cls, n = part[useful], cls[useful], n[useful]
         first = np.ones(len(cls), bool)
-        first[1:] = shingle[1:] != shingle[:-1]
+        first[1:] = part[1:] != part[:-1]
         begin = np.flatnonzero(first)
         size = np.diff(np.append(begin, len(cls)))
         if name is None:
@@ -180,13 +180,12 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             region = np.repeat(tb.mix(run[begin + size] - run[begin] + size.astype(tb.U)).view(np.int64), size) if len(cls) else cls
         else:
             region = np.full(len(cls), name)
-        keep = np.repeat(size > 1, size) if name is None else np.ones(len(cls), bool)
-        return pa.RecordBatch.from_arrays([pa.array(region[keep]), pa.array(cls[keep]), pa.array(n[keep])], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(region), pa.array(cls), pa.array(n)], names=names)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = [batch.column(c).to_numpy() for c in ("shingle", "class", "n")]
+        rows = [batch.column(c).to_numpy() for c in ("part", "class", "n")]
         if held is not None:
             rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
         if large is not None:
@@ -197,7 +196,7 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held = None
                 continue
             large = None
-        to = int(np.searchsorted(rows[0] == rows[0][-1], True))    # the last shingle may go on
+        to = int(np.searchsorted(rows[0] == rows[0][-1], True))    # the last region may go on
         yield out(*(x[:to] for x in rows))
         held = [x[to:] for x in rows]
         if len(held[0]) > CARRY:
@@ -217,7 +216,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(n), RANGES), np.uint32)
         np.add.at(counts, (owner, (key >> tb.U(58)).astype(np.int64)), 1)
         to = np.cumsum(n)
-        full = np.flatnonzero(n)
+        full = np.flatnonzero((n > 0) & (cls == part.column("wanted").to_numpy()))
         yield pa.RecordBatch.from_arrays([pa.array(cls[full]), pa.array(n[full]), pa.array([counts[i].tobytes() for i in full], pa.binary()),
                                           pa.array([key[to[i] - n[i]:to[i]].tobytes() for i in full], pa.binary())],
                                          names=["class", "n", "counts", "shingles"])
@@ -242,37 +241,48 @@ def _counts(column: pa.Array) -> np.ndarray:
     return tb.text_bytes(column)[0].view(np.uint32).reshape(-1, RANGES)
 
 
-def _pairs(regions: DataFrame, across: bool) -> DataFrame:
-    """Candidate pairs (a, b) of regions (region, class, n, counts[, component]).
-    First pass: every class with the first pivot near enough; classes near
-    none are pivots.  Across: all near pairs of different components."""
+def _star(cls: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Pairs of the most central class with those near it, then the same
+    among the others."""
+    out, left = [], np.arange(len(cls))
+    while len(left) > 1:
+        own = counts[left]
+        centre = int(_distances(np.median(own, axis=0)[None].astype(np.uint32), own)[0].argmin())
+        near = _distances(own[centre:centre + 1], own)[0] <= RADIUS + _SLACK
+        near[centre] = False
+        out.append(np.stack([np.full(near.sum(), cls[left[centre]]), cls[left[near]]]))
+        near[centre] = True
+        left = left[~near]
+    return out
+
+
+def _across(cls: np.ndarray, n: np.ndarray, counts: np.ndarray, component: np.ndarray, nearest: bool) -> list[np.ndarray]:
+    """Near pairs of different components: all, or the nearest of each class."""
+    out = []
+    for i in range(0, len(cls), 256):
+        to = int(np.searchsorted(n, n[min(i + 256, len(n)) - 1] * 10 // 9, "right"))       # sizes within 9 / 10
+        d = _distances(counts[i:i + 256], counts[i:to])
+        d[(component[i:i + 256, None] == component[None, i:to]) | (d > RADIUS + _SLACK)] = np.inf
+        d[np.tril_indices(*d.shape[:1], m=d.shape[1])] = np.inf                            # each pair once
+        x, y = (np.arange(len(d)), d.argmin(axis=1)) if nearest else np.nonzero(np.isfinite(d))
+        ok = np.isfinite(d[x, y]) if d.shape[1] else np.zeros(0, bool)
+        out.append(np.stack([cls[i + x[ok]], cls[i + y[ok]]]))
+    return out
+
+
+def _pairs(regions: DataFrame, how: str) -> DataFrame:
+    """Candidate pairs (a, b) of regions (region, class, n, counts[,
+    component]): how is star, nearest or all."""
     def one(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         cls, n, counts = rows["class"].to_numpy(), rows["n"].to_numpy(), _counts(rows["counts"])
         order = np.lexsort((cls, n))
         cls, n, counts = cls[order], n[order], counts[order]
-        a, b = [], []
-        if across:
-            component = rows["component"].to_numpy()[order]
-            if len(np.unique(component)) > 1:
-                for i in range(0, len(cls), 256):
-                    to = int(np.searchsorted(n, n[min(i + 256, len(n)) - 1] * 10 // 9, "right"))   # sizes within 9 / 10
-                    near = _distances(counts[i:i + 256], counts[i:to]) <= RADIUS + _SLACK
-                    near &= component[i:i + 256, None] != component[None, i:to]
-                    x, y = np.nonzero(near)
-                    x, y = x[x < y], y[x < y]
-                    a.append(cls[i + x])
-                    b.append(cls[i + y])
+        if how == "star":
+            found = _star(cls, counts)
         else:
-            left = np.arange(len(cls))
-            while len(left):
-                near = _distances(counts[left[:1]], counts[left])[0] <= RADIUS + _SLACK
-                near[0] = False
-                a.append(np.full(near.sum(), cls[left[0]]))
-                b.append(cls[left[near]])
-                left = left[~near][1:]
-        none = np.zeros(0, np.int64)
-        a, b = np.concatenate([none, *a]), np.concatenate([none, *b])
+            found = _across(cls, n, counts, rows["component"].to_numpy()[order], how == "nearest")
+        a, b = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
     return regions.groupBy("region").applyInArrow(one, "a long, b long").distinct()
 
@@ -353,21 +363,25 @@ def link_table(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tup
     both by class; classes that link with none aren't in components."""
     named = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     docs = written(members(named).drop("text"))
-    texts = named.select("text")
-    sorted_prefixes = prefixes(texts, frequent(texts)).repartition("shingle").sortWithinPartitions("shingle", "class")
-    regions = written(sorted_prefixes.mapInArrow(_regions, "region long, class long, n long").dropDuplicates(["region", "class"]))
-    wanted = written(regions.select("class").distinct())
-    one_of = docs.join(wanted, "class").groupBy("class").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    sets = written(named.join(one_of.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).select("text")
-                   .mapInArrow(_sets, SETS).join(wanted, "class", "left_semi").dropDuplicates(["class"]))
+    parts = named.select("text").mapInArrow(_band_parts, PARTS).repartition("part").sortWithinPartitions("part", "class")
+    regions = written(parts.mapInArrow(_regions, "region long, class long, n long").dropDuplicates(["region", "class"]))
+    one_of = (docs.join(regions.select("class").distinct(), "class").groupBy(F.col("class").alias("wanted")).agg(F.min("doc_id").alias("id")))
+    # A document that is listed twice gives its set twice: its links are then found twice.
+    sets = written(named.join(one_of.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id"))).select("wanted", "text").mapInArrow(_sets, SETS))
     parts = written(split(regions.join(sets.select("class", "counts"), "class").select("region", "class", "n", "counts")))
-    links = written(_links(_pairs(parts, across=False), sets))
+    links = written(_links(_pairs(parts, "star"), sets))
     found = components(links)
-    labelled = (parts.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class")))
-    several = labelled.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
-    rest = written(_links(_pairs(labelled.join(several, "region", "left_semi"), across=True), sets))
-    if not rest.isEmpty():
-        found = components(links.unionByName(rest))
+    for how in ("nearest", "all"):
+        while True:
+            labelled = parts.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+            several = labelled.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
+            more = written(_links(_pairs(labelled.join(several, "region", "left_semi"), how), sets))
+            if more.isEmpty():
+                break
+            links = links.unionByName(more)
+            found = components(links)
+            if how == "all":                                   # every pair that may link has been compared
+                break
     return docs, found
 
 

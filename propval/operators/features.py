@@ -314,7 +314,7 @@ def outlier_filter(df: DataFrame, price: str, tier_col: str = "price_tier",
     pandas.  Returns ``(kept rows, stats)`` where stats counts removals per
     tier and step.  Other tiers pass through untouched.
     """
-    d = target_ratios(df, price).withColumn("_removed", F.lit(None).cast("string"))
+    d = target_ratios(df, price).withColumn("_removed", F.lit(None).cast("string")).checkpoint(eager=True)   # every step reads it
     target = F.col(tier_col).isin(list(tiers))
 
     def step(d, name, wanted, keep):

@@ -319,20 +319,16 @@ def outlier_filter(df: DataFrame, price: str, tier_col: str = "price_tier",
 
     def step(d, name, wanted, keep):
         live = d.filter(target & F.col("_removed").isNull())
-        th = quantiles(live, [tier_col], wanted)            # a row for each tier
-        j = d.join(th, tier_col, "left")
-        drop = target & F.col("_removed").isNull() & ~F.coalesce(keep, F.lit(False))
-        out = j.withColumn("_removed", F.when(drop, F.lit(name)).otherwise(F.col("_removed")))
-        return out.drop(*[a for a in th.columns if a != tier_col])
-
-    d = step(d, "price_per_sqft",
-             {"_lo": ("price_per_sqft", 0.05), "_hi": ("price_per_sqft", 0.95)},
-             (F.col("price_per_sqft") >= F.col("_lo")) & (F.col("price_per_sqft") <= F.col("_hi")))
-    d = step(d, "sqft_per_dollar", {"_s95": ("sqft_per_dollar", 0.95)},
-             F.col("sqft_per_dollar") <= F.col("_s95"))
+        rows = quantiles(live, [tier_col], wanted).collect()                  # a row for each extreme tier
+        th = {c: F.coalesce(F.lit(None).cast("double"), *[F.when(F.col(tier_col) == r[tier_col], F.lit(r[c])) for r in rows]) for c in wanted}
+        drop = target & F.col("_removed").isNull() & ~F.coalesce(keep(th), F.lit(False))
+        return d.withColumn("_removed", F.when(drop, F.lit(name)).otherwise(F.col("_removed")))
+
+    d = step(d, "price_per_sqft", {"lo": ("price_per_sqft", 0.05), "hi": ("price_per_sqft", 0.95)},
+             lambda th: (F.col("price_per_sqft") >= th["lo"]) & (F.col("price_per_sqft") <= th["hi"]))
+    d = step(d, "sqft_per_dollar", {"hi": ("sqft_per_dollar", 0.95)}, lambda th: F.col("sqft_per_dollar") <= th["hi"])
     if "lot_sqft" in d.columns:
-        d = step(d, "lot_sqft", {"_l98": ("lot_sqft", 0.98)},
-                 F.col("lot_sqft") <= F.col("_l98"))
+        d = step(d, "lot_sqft", {"hi": ("lot_sqft", 0.98)}, lambda th: F.col("lot_sqft") <= th["hi"])
     if "year_built" in d.columns:
         yb = F.col("year_built")
         d = d.withColumn("_removed", F.when(target & F.col("_removed").isNull() &

@@ -10,9 +10,11 @@ value always stands for the same value in the document.
 
 A document contains an item if a run covers ``MIN_COVERED`` of its words, or
 all of a shorter item, and at least ``MIN_AGREEING`` of its slots agree.
-Windows need ``MIN_LITERAL`` of their words to be no placeholders; items of
-fewer than ``SHORTEST`` words are too short to be told from common prose and
-match nothing.
+Windows need ``MIN_LITERAL`` of their words to be no placeholders to match
+by their template.  Windows with placeholders also match by their words as
+they stand (lower-cased), however many are placeholders, so a verbatim copy
+always joins.  Items of fewer than ``SHORTEST`` words are too short to be told
+from common prose and match nothing.
 
 The benchmark's windows reach the documents as a Bloom filter of fixed size,
 whatever the benchmark's; what passes meets them in a join.
@@ -99,15 +101,20 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def template_windows(texts: pa.Array, lengths: list[int]) -> tuple[np.ndarray, ...]:
     """(text number, place, length, hash) of the windows with enough literal
-    words, and every word's place, value and placeholder mark."""
+    words and, by their words, of all with placeholders; and every word's
+    place, value and placeholder mark."""
     owner, template, value, slot, docs = templates(texts)
     nth = np.arange(len(owner)) - np.searchsorted(owner, owner, "left")
     slots = np.concatenate([[0], np.cumsum(slot)])
     out = []
     for n in lengths:
         at, key = tb.windows(template, owner, n)
-        ok = slots[at + n] - slots[at] <= (1 - MIN_LITERAL) * n
+        n_slots = slots[at + n] - slots[at]
+        ok = n_slots <= (1 - MIN_LITERAL) * n
         out.append((at[ok], np.full(ok.sum(), n), key[ok]))
+        some = n_slots > 0                                   # without a placeholder the template is the words
+        at, key = tb.windows(value, owner, n)
+        out.append((at[some], np.full(some.sum(), n), key[some]))
     at, length, key = (np.concatenate(x) for x in zip(*out, strict=True))
     return owner, nth, value, slot, at, length, key, np.bincount(owner, minlength=docs)
 
@@ -165,8 +172,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen = max(seen, place + size)
                 best = max(best, seen - begin)
                 for k, (a, b) in enumerate(zip(np.frombuffer(w["item_slots"], tb.U), np.frombuffer(w["doc_slots"], tb.U), strict=True)):
-                    if a or b:
-                        pairs[place + k] = (int(a), int(b))
+                    if a or b:                               # a slot on one side: matched by the word itself
+                        pairs[place + k] = (int(a or b), int(b or a))
             stands: dict[int, dict[int, int]] = {}
             for a, b in pairs.values():
                 stands.setdefault(a, {}).setdefault(b, 0)

@@ -32,6 +32,16 @@ def test_short_items_match_whole(spark):
     assert set(got) == {(1, 7)}
 
 
+def test_verbatim_copies_of_dense_items(spark):
+    numbers = "Find the sum of 12, 15, 18, 21 and 30."
+    edges = "Put 3 4 5 6 7 8 on the first line of the page"
+    docs = [(1, "Exercise one. " + numbers + " Then stop."), (2, numbers.lower()), (3, "Find the sum of 13, 16, 19, 22 and 31."),
+            (4, "Before. " + edges + " and go on"), (5, "Find the sum of 12, 15, 18, 21 and 31.")]
+    got = run(spark, docs, [(100, numbers), (101, edges)])
+    assert set(got) == {(1, 100), (2, 100), (4, 101)}
+    assert got[1, 100].kind == "exact" and got[1, 100].covered == 10 and got[1, 100].n_changed == 0
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")

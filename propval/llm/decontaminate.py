@@ -13,7 +13,8 @@ all of a shorter item, and at least ``MIN_AGREEING`` of its slots agree.
 Windows need ``MIN_LITERAL`` of their words to be no placeholders to match
 by their template.  Windows with placeholders also match by their words as
 they stand (lower-cased), however many are placeholders, so a verbatim copy
-always joins.  Items of fewer than ``SHORTEST`` words are too short to be told
+always joins.  The opening word of an item matches as a literal and as a name,
+since a copy may stand inside a sentence.  Items of fewer than ``SHORTEST`` words are too short to be told
 from common prose and match nothing.
 
 The benchmark's windows reach the documents as a Bloom filter of fixed size,
@@ -66,9 +67,10 @@ def _unit_hashes() -> np.ndarray:
 _units = _unit_hashes()
 
 
-def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+def templates(texts: pa.Array, inside: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
     """Of every word: text number, template hash, value hash, and whether it
-    is a placeholder; and the number of texts."""
+    is a placeholder; and the number of texts.  inside: a text's first word
+    is taken as one inside a sentence."""
     data, offsets = tb.text_bytes(texts)
     start, end, owner = tb.words(data, offsets)
     n = len(data)
@@ -88,6 +90,9 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     opens = np.ones(len(start), bool)                        # the first word of a sentence, a line or a text
     opens[1:] = (owner[1:] != owner[:-1]) | ends_sentence[:-1] | (breaks[start[1:]] > breaks[end[:-1]])
     first, last, owner, opens = first[full], last[full], owner[full], opens[full]
+    if inside:
+        opens[1:] &= owner[1:] == owner[:-1]
+        opens[:1] = False
     value = tb.SpanHash(data, lower=True)(first, last)
     is_number = digits[last] > digits[first]
     wide = (data[first] == 0xC3) & (data[np.minimum(first + 1, max(n - 1, 0))] <= 0x9E) if len(first) else np.zeros(0, bool)
@@ -133,6 +138,12 @@ def _benchmark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner, nth, value, slot, at, length, key, words = template_windows(part.column("text"), list(range(SHORTEST, WINDOW + 1)))
         use = (length == WINDOW) | (words[owner[at]] == length)          # a short item is one window
         yield _rows(part, owner, nth, value, slot, at[use], length[use], key[use], words)
+        _, template, _, slot, _ = templates(part.column("text"), inside=True)
+        for n in range(SHORTEST, WINDOW + 1):                            # the first windows, should a name open them
+            at, key = tb.windows(template, owner, n)
+            slots = np.concatenate([[0], np.cumsum(slot)])
+            use = (nth[at] == 0) & (template[at] == NAME) & (slots[at + n] - slots[at] <= (1 - MIN_LITERAL) * n) & ((words[owner[at]] == n) | (n == WINDOW))
+            yield _rows(part, owner, nth, value, slot, at[use], np.full(use.sum(), n), key[use], words)
 
 
 def _rows(part, owner, nth, value, slot, at, length, key, words) -> pa.RecordBatch:

@@ -42,6 +42,15 @@ def test_verbatim_copies_of_dense_items(spark):
     assert got[1, 100].kind == "exact" and got[1, 100].covered == 10 and got[1, 100].n_changed == 0
 
 
+def test_short_items_inside_sentences(spark):
+    tall, apples, plain = "What is the tallest mountain in the whole world", "Ann has 12 apples in the old hall", "Where do most people live"
+    docs = [(1, "Yesterday they asked us " + tall + " and we knew"), (2, "yes, and so Zoe has 40 apples in the old hall today"), (3, "they asked us " + plain + " now"),
+            (4, "we say that what is the tallest mountain is known in the whole world"), (5, "in the end " + tall.lower())]
+    got = run(spark, docs, [(100, tall), (101, apples), (102, plain)])
+    assert set(got) == {(1, 100), (2, 101), (3, 102), (5, 100)}
+    assert got[1, 100].kind == got[3, 102].kind == "exact" and got[2, 101].kind == "template"
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")

@@ -10,9 +10,11 @@ so the model covers every word with a bounded table of emissions.
 Training is Baum-Welch: every task runs scaled forward and backward
 recursions over its documents, in segments of ``SEGMENT`` tokens (those after
 a document's first begin in the chain's stationary distribution), and the
-expected counts are summed over all partitions; each of the ``ITERATIONS``
-covers all training documents.  Only the states that the first iteration
-starts from come from a sample (``START_DOCS`` documents).
+expected counts are summed over all partitions; every iteration covers all
+training documents, and they go on until one raises the log-likelihood by
+less than ``SETTLED`` of it.  They start from all training documents dealt to
+the states by a random projection of their words, so documents with like words
+begin in one state, however many there are.
 
 Scoring is exact for whole texts: the forward recursion of ``STEP`` tokens is
 a matrix, all pieces of all texts advance together in numpy, and the product
@@ -44,8 +46,7 @@ TOP_WORDS = 60_000
 BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
 STATES = 8
-ITERATIONS = 2
-START_DOCS, START_TOKENS, START_ITERATIONS = 400, 300_000, 15
+SETTLED = 1e-4
 SEGMENT = 128
 STEP = 64
 PRIOR = 3.0              # tokens, spread over the states, that each class begins with
@@ -259,33 +260,22 @@ def maximised(v: Vocabulary, emit: np.ndarray, move: np.ndarray, start: np.ndarr
     return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def first_states(v: Vocabulary, tokens: np.ndarray, offsets: np.ndarray, seed: int = 42) -> Model:
-    """A model of the sample: its documents dealt to the states, then Baum-Welch."""
-    rng = np.random.default_rng(seed)
-    emit = np.zeros((v.end + 1, STATES))
-    state = rng.integers(0, STATES, len(offsets) - 1)
-    np.add.at(emit, (tokens, np.repeat(state, np.diff(offsets))), 1.0)
-    model = maximised(v, emit, 50.0 * np.eye(STATES), np.zeros(STATES))
-    for _ in range(START_ITERATIONS):
-        emit, move, start = np.zeros_like(emit), np.zeros((STATES, STATES)), np.zeros(STATES)
-        expected(model, tokens, offsets, emit, move, start)
-        model = maximised(v, emit, move, start)
-    return model
-
-
-def baum_welch(encoded: DataFrame, v: Vocabulary, model: Model) -> Model:
-    """One iteration over all rows of encoded.  Row -1 - k has the moves from
-    state k, row -1 - STATES the starts, others the emissions of a class."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+def _summed(encoded: DataFrame, v: Vocabulary, value, add) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Sums over all rows of encoded of what add(value, tokens, offsets, emit,
+    move, start) adds to the counts, and of what it returns.  Row -1 - k has the
+    moves from state k, row -1 - STATES the starts, the one below the returned
+    sum, others the emissions of a class."""
+    shared = encoded.sparkSession.sparkContext.broadcast(value)
     sums = [f"s{k}" for k in range(STATES)]
 
     def run(batches):
         emit, move, start = np.zeros((v_end + 1, STATES)), np.zeros((STATES, STATES)), np.zeros(STATES)
+        log = np.zeros(STATES)
         for batch in tb.slices(batches, "classes"):
-            expected(shared.value, *_unpack(batch.column("classes")), emit, move, start)
+            log[0] += add(shared.value, *_unpack(batch.column("classes")), emit, move, start)
         some = np.flatnonzero(emit.any(axis=1))
-        rows = np.concatenate([-1 - np.arange(STATES + 1), some])
-        values = np.concatenate([move, start[None], emit[some]])
+        rows = np.concatenate([-1 - np.arange(STATES + 2), some])
+        values = np.concatenate([move, start[None], log[None], emit[some]])
         for i in range(0, len(rows), 10_000):
             yield pa.RecordBatch.from_arrays([pa.array(rows[i:i + 10_000]), *(pa.array(values[i:i + 10_000, k]) for k in range(STATES))], names=["row", *sums])
     v_end = v.end
@@ -293,31 +283,49 @@ def baum_welch(encoded: DataFrame, v: Vocabulary, model: Model) -> Model:
            .groupBy("row").agg(*[F.sum(s).alias(s) for s in sums]).toPandas().sort_values("row"))
     row, values = got["row"].to_numpy(), got[sums].to_numpy()
     emit, move, start = np.zeros((v.end + 1, STATES)), np.zeros((STATES, STATES)), np.zeros(STATES)
+    log = 0.0
     emit[row[row >= 0]] = values[row >= 0]
     for r, x in zip(row[row < 0], values[row < 0], strict=True):
-        if r == -1 - STATES:
+        if r == -2 - STATES:
+            log = float(x[0])
+        elif r == -1 - STATES:
             start = x
         else:
             move[-1 - r] = x
-    return maximised(v, emit, move, start)
+    return emit, move, start, log
+
+
+def dealt(weight: np.ndarray, tokens: np.ndarray, offsets: np.ndarray, emit: np.ndarray, move: np.ndarray, start: np.ndarray) -> float:
+    """Adds the texts' tokens to emit, each text in the state of its largest projection."""
+    n = np.diff(offsets)
+    owner = np.repeat(np.arange(len(n)), n)
+    state = np.stack([np.bincount(owner, weight[tokens, k], len(n)) for k in range(STATES)], axis=1).argmax(axis=1)[owner]
+    for k in range(STATES):
+        emit[:, k] += np.bincount(tokens[state == k], minlength=len(emit))
+    return 0.0
+
+
+def first_states(encoded: DataFrame, v: Vocabulary, seed: int = 42) -> Model:
+    """A model of all documents dealt to the states."""
+    weight = np.random.default_rng(seed).standard_normal((v.end + 1, STATES))
+    emit, _, _, _ = _summed(encoded, v, weight - v.share @ weight, dealt)
+    return maximised(v, emit, 50.0 * np.eye(STATES), np.zeros(STATES))
+
+
+def baum_welch(encoded: DataFrame, v: Vocabulary, model: Model) -> tuple[Model, float]:
+    """One iteration over all rows of encoded, and the log-likelihood before it."""
+    emit, move, start, log = _summed(encoded, v, model, expected)
+    return maximised(v, emit, move, start), log
 
 
 def train(encoded: DataFrame, v: Vocabulary) -> Model:
     """encoded: rows of training documents."""
-    share = min(1.0, 2 * START_DOCS / max(1, v.docs))
-    place = F.pmod(F.xxhash64(F.lit(42), "text_hash"), F.lit(1 << 30))
-    rows = encoded.where(place < int(share * (1 << 30))).select(place.alias("p"), "text_hash", "classes").orderBy("p", "text_hash").limit(START_DOCS).collect()
-    taken, n = [], 0
-    for r in rows:
-        taken.append(bytes(r["classes"]))
-        n += len(taken[-1]) // 2
-        if n >= START_TOKENS:
-            break
-    tokens, offsets = _unpack(pa.array(taken, pa.binary()))
-    model = first_states(v, tokens, offsets)
-    for _ in range(ITERATIONS):
-        model = baum_welch(encoded, v, model)
-    return model
+    model, last = first_states(encoded, v), -np.inf
+    while True:
+        model, log = baum_welch(encoded, v, model)
+        if log - last <= SETTLED * abs(log):
+            return model
+        last = log
 
 
 def log10_likelihood(model: Model, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -104,3 +104,23 @@ def test_probabilities_sum_to_one(spark):
     encoded = hmm.encode(df.selectExpr("doc_id", "false held_out", "xxhash64(text) text_hash", "text"), v)
     m = hmm.train(encoded, v)
     assert np.allclose(m.emit.sum(axis=0), 1) and np.allclose(m.move.sum(axis=1), 1)
+
+
+def test_every_training_document_shapes_the_states(spark, monkeypatch):
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{(i * k + k * k) % 30}" for k in range(40))) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    _, v = hmm.vocabulary(df)
+    encoded = hmm.encode(df.selectExpr("doc_id", "false held_out", "xxhash64(text) text_hash", "text"), v).cache()
+    seen, logs, own = [], [], hmm.baum_welch
+
+    def counted(encoded, v, model):
+        seen.append(encoded.count())
+        out, log = own(encoded, v, model)
+        logs.append(log)
+        return out, log
+    monkeypatch.setattr(hmm, "baum_welch", counted)
+    hmm.train(encoded, v)
+    assert set(seen) == {900} and len(logs) > 2                       # no iteration sees less than all
+    assert all(b > a for a, b in zip(logs[:-2], logs[1:])) and logs[-1] - logs[-2] <= hmm.SETTLED * abs(logs[-1])
+    emit = hmm.first_states(encoded, v).emit
+    assert (emit.std(axis=1) > 1e-3 * emit.mean(axis=1)).any()        # the states differ from the start

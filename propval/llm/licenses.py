@@ -11,8 +11,12 @@ A text is aligned piece by piece, in pieces of 1.5 template lengths that
 overlap by one, so a second copy of a license can't hide the first.  A piece
 is skipped only if its words can't reach the coverage asked for (the words of
 the template that it has, with their counts, bound every alignment); so a
-text without the words costs one lookup.  Findings of one template don't
-overlap; the better one stays.
+text without the words costs one lookup.  Findings don't overlap, also those
+of different templates; the one with the most aligned words stays.
+
+Sibling licenses differ in a word or a number.  A finding needs every telling
+word of its template (``TELLING`` and version numbers) aligned, and none
+between its first and last word that the template doesn't have.
 
 Defined results: null and empty texts have no finding; null ids are kept;
 rows that repeat are scanned each; an empty table gives an empty result.
@@ -65,6 +69,55 @@ TEMPLATES = {
         "Software."),
 }
 
+_WORK, _CC = "This work is licensed under ", {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+                                             "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+                                             "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def _siblings() -> dict[str, str]:
+    """Forms of the other common licenses and of the siblings of those above."""
+    out = {
+        "BSD-3-Clause": TEMPLATES["BSD-2-Clause"] + (
+            " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+            "this software without specific prior written permission."),
+        "BSD-2-Clause-grant": "Licensed under the BSD 2-Clause License",
+        "BSD-3-Clause-grant": "Licensed under the BSD 3-Clause License",
+        "CC0-1.0": "Licensed under CC0 1.0",
+        "CC0-1.0-waiver": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work CC0 1.0 Universal",
+        "ISC-grant": "Released under the ISC License",
+        "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0",
+        "MPL-2.0-header": (
+            "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+            "file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+        "Unlicense": (
+            "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+            "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+            "means."),
+        "Unlicense-grant": "Released under the Unlicense",
+    }
+    for code, kind, version in (("GPL", "", "3"), ("GPL", "", "2"), ("LGPL", "Lesser ", "3"), ("LGPL", "Lesser ", "2.1"), ("AGPL", "Affero ", "3")):
+        name, title = f"{code}-{version if '.' in version else version + '.0'}", f"GNU {kind}General Public License"
+        out[name] = f"{_WORK}the {title}, version {version}"
+        out[f"{name}-name"] = f"{title}, version {version if '.' in version else version + '.0'}"
+        out[f"{name}-header"] = TEMPLATES["GPL-3.0-header"].replace("GNU General Public License", title).replace("version 3", f"version {version}")
+        out[f"{name}-short"] = f"Licensed under the {code} v{version}"
+    for code, title in _CC.items():
+        for version, port in (("4.0", "International"), ("3.0", "Unported")):
+            out[f"CC-{code}-{version}"] = f"Licensed under CC {code} {version}"
+            out[f"CC-{code}-{version}-work"] = f"{_WORK}a Creative Commons {title} {version} {port} License"
+    out["CC-BY-SA-4.0-grant"] = out.pop("CC-BY-SA-4.0")
+    out.pop("CC-BY-SA-4.0-work")                             # above as CC-BY-SA-4.0
+    return {name: text for name, text in out.items() if name not in TEMPLATES}
+
+
+TEMPLATES |= _siblings()
+
+#: Words that tell sibling licenses apart; numbers do in a short form and after "version" or "v".
+TELLING = ("lesser", "library", "affero", "gpl", "lgpl", "agpl", "mit", "isc", "bsd", "apache", "mozilla", "mpl", "cc", "cc0", "unlicense", "nc", "sa", "nd",
+           "noncommercial", "sharealike", "noderivatives", "noderivs", "contributors")
+NUMBERS = tuple(f"{v}{n}" for v in ("", "v") for n in range(1, 10))
+SHORT = 20               # words of a short form
+
 _byte = np.arange(256)
 IS_INNER = ((_byte >= 48) & (_byte <= 57)) | ((_byte >= 65) & (_byte <= 90)) | ((_byte >= 97) & (_byte <= 122)) | (_byte >= 128)
 
@@ -133,18 +186,28 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _hashes(plain: tuple[str, ...]) -> set[int]:
+    return set(words(pa.array(plain, pa.string()))[0].tolist())
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]):
+        self.names, self.numbers, self.version = _hashes(TELLING), _hashes(NUMBERS), _hashes(("version", "v"))
         hashed, owner, n = words(pa.array(list(templates.values()), pa.string()))
         self.templates = [(name, hashed[owner == i].tolist()) for i, name in enumerate(templates) if (owner == i).any()]
         self.known = np.unique(hashed)
         self.counts = [Counter(t) for _, t in self.templates]
+        self.telling = [{t[p] for p in range(len(t)) if self._tells(t, p, len(t))} for _, t in self.templates]
         # The words of each template by their number among the known ones, and how often it has them.
         self.weight = np.zeros((len(self.known), len(self.templates)), np.int64)
         for k, c in enumerate(self.counts):
             for w, m in c.items():
                 self.weight[np.searchsorted(self.known, np.uint64(w)), k] = m
 
+    def _tells(self, text: list[int], p: int, length: int) -> bool:
+        """Whether the word at p tells siblings of a template of so many words apart."""
+        return text[p] in self.names or text[p] in self.numbers and (length <= SHORT or p > 0 and text[p - 1] in self.version)
+
     def __call__(self, texts: pa.Array) -> list[tuple[int, str, float, int, int, int]]:
         """(text number, license, coverage, first word, last word, aligned words) of every finding."""
         hashed, owner, n = words(texts)
@@ -158,9 +221,10 @@ class Scanner:
         possible = has @ self.weight >= MIN_COVERAGE * size   # no alignment covers words that aren't there
         begin = np.searchsorted(owner, np.arange(n + 1))
         out = []
-        for i, k in zip(*np.nonzero(possible), strict=True):
+        for i in np.flatnonzero(possible.any(axis=1)):
             text = hashed[begin[i]:begin[i + 1]].tolist()
-            out += [(int(i), *f) for f in self._scan(text, int(k))]
+            found = [f for k in np.flatnonzero(possible[i]) for f in self._scan(text, int(k))]
+            out += [(int(i), *f) for f in _apart(found)]
         return out
 
     def _scan(self, text: list[int], k: int) -> list[tuple[str, float, int, int, int]]:
@@ -182,7 +246,7 @@ class Scanner:
             if not pairs:
                 continue
             first, last = pairs[0][1], pairs[-1][1] + 1
-            if len(pairs) >= MIN_COVERAGE * length and len(pairs) >= MIN_DENSITY * (last - first):
+            if len(pairs) >= MIN_COVERAGE * length and len(pairs) >= MIN_DENSITY * (last - first) and self._agrees(piece, pairs, k):
                 found.append((len(pairs) / length, -(last - first), -(at + first), at + first, at + last, len(pairs)))
         kept: list[tuple] = []
         for f in sorted(found, reverse=True):
@@ -190,6 +254,26 @@ class Scanner:
                 kept.append(f)
         return sorted((name, f[0], f[3], f[4], f[5]) for f in kept)
 
+    def _agrees(self, piece: list[int], pairs: list[tuple[int, int]], k: int) -> bool:
+        """Whether the aligned part has the telling words of template k and no others."""
+        length, telling, aligned = len(self.templates[k][1]), self.telling[k], {q for _, q in pairs}
+        if not telling <= {piece[q] for q in aligned}:
+            return False
+        others = (q for q in range(pairs[0][1], pairs[-1][1]) if q not in aligned and self._tells(piece, q, length))
+        return all(piece[q] in telling for q in others)
+
+
+def _apart(found: list[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int, int]]:
+    """Of findings that overlap, the one with the most aligned words."""
+    starts: list[int] = []
+    kept: list[tuple] = []
+    for f in sorted(found, key=lambda f: (-f[4], -f[1], f[3] - f[2], f[2], f[0])):
+        at = bisect_left(starts, f[2])
+        if (at == 0 or kept[at - 1][3] <= f[2]) and (at == len(kept) or f[3] <= kept[at][2]):
+            starts.insert(at, f[2])
+            kept.insert(at, f)
+    return kept
+
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, license, coverage, first_word, last_word, n_aligned): every

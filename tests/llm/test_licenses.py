@@ -61,3 +61,23 @@ def test_query_finds_every_grant_line(spark):
     want = {(d.doc_id, name) for d in docs for name, t in licenses.TEMPLATES.items() if f" {norm(t)} " in f" {norm(d.text)} "}
     assert want and want <= got
     assert {d for d, _ in got} == {d for d, _ in want}
+
+
+def test_siblings_are_told_apart(spark):
+    lesser = licenses.TEMPLATES["GPL-3.0-header"].replace("GNU General", "GNU Lesser General")
+    grants = {"Licensed under CC BY 4.0": "CC-BY-4.0", "Licensed under CC BY-NC 4.0": "CC-BY-NC-4.0", "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0",
+              "This work is licensed under a Creative Commons Attribution 4.0 International License": "CC-BY-4.0-work",
+              "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0",
+              "This work is licensed under the GNU General Public License, version 3": "GPL-3.0",
+              "This work is licensed under the GNU General Public License, version 2": "GPL-2.0",
+              "This work is licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0",
+              "the GNU Lesser General Public License, version 3": "LGPL-3.0-name",
+              "This work is licensed under the GNU Affero General Public License, version 3": "AGPL-3.0", lesser: "LGPL-3.0-header",
+              "Licensed under the Mozilla Public License, Version 2.0": "MPL-2.0", "Licensed under the Apache License, Version 2.0": "Apache-2.0",
+              "Licensed under CC0 1.0": "CC0-1.0", "Released under the Unlicense": "Unlicense-grant", "Released under the MIT License": "MIT",
+              licenses.TEMPLATES["BSD-2-Clause"]: "BSD-2-Clause", licenses.TEMPLATES["Apache-2.0-header"]: "Apache-2.0-header"}
+    rows = [(i, f"Some words of a page. {text} More words follow.") for i, text in enumerate(grants)]
+    third = "3. Neither the name of Example Corp nor the names of its contributors may be used to endorse or promote products derived from this software"
+    rows.append((99, licenses.TEMPLATES["BSD-2-Clause"] + " " + third + " without specific prior written permission."))
+    got = sorted((r.doc_id, r.license) for r in found(spark, rows))
+    assert got == sorted([*enumerate(grants.values()), (99, "BSD-3-Clause")])

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propval.llm import decontaminate, hmm, jaccard, langid, licenses, mixing, quality, render, rotation, suffixes
+from propval.llm import collocations, decontaminate, hmm, jaccard, langid, licenses, mixing, quality, render, rotation, suffixes
 from propval.session import workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op13_collocations", collocations.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))

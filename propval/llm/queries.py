@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propval.llm import collocations, decontaminate, hmm, jaccard, langid, licenses, mixing, quality, render, rotation, suffixes
+from propval.llm import collocations, decontaminate, hmm, jaccard, langid, licenses, mixing, quality, render, rotation, suffixes, warc
 from propval.session import workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 phrases of every language."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_warc", warc.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, as the archives that are written of them give it back."""
+    return warc.pages_digest(table(spark, sf_dir, "pages").select("page_id", "url", "html"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propval.llm import collocations, decontaminate, hmm, jaccard, langid, licenses, mixing, quality, render, rotation, suffixes, warc
+from propval.llm import collocations, decontaminate, hmm, jaccard, langid, licenses, mixing, negatives, quality, render, rotation, suffixes, warc
 from propval.session import workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,12 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+@query("op11_hard_negatives", negatives.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives that score nearly as high as an anchor's positives."""
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 @query("op12_warc", warc.ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, as the archives that are written of them give it back."""

@@ -3,29 +3,47 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from propval.session import ensure_checkpoint_dir
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df, written as Parquet below ``spark.checkpoint.dir`` and read again.
+def _new_path(spark: SparkSession) -> str:
+    """A path for a table, which goes when the application does."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return path
 
-    Cuts the lineage: a lost executor costs no earlier work.  The shuffle
-    files of the write are released when it ends, and the table goes when
-    the application does.
-    """
+
+def _write(df: DataFrame, path: str) -> None:
+    """Adds df to the table; the shuffle files of the write are released when it ends."""
     spark: SparkSession = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(clean)
     spark.conf.set(clean, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.mode("append").option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(clean, before)
-    jvm = spark.sparkContext._jvm
-    there = jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
-    return spark.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, written as Parquet below ``spark.checkpoint.dir`` and read again.
+
+    Cuts the lineage: a lost executor costs no earlier work.
+    """
+    path = _new_path(df.sparkSession)
+    _write(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def appended(spark: SparkSession, frames: Iterable[DataFrame], schema: str) -> DataFrame:
+    """The rows of all frames, each written to one table before the next is made."""
+    path = _new_path(spark)
+    _write(spark.createDataFrame([], schema), path)
+    for df in frames:
+        _write(df.select(*spark.createDataFrame([], schema).columns), path)
+    return spark.read.schema(schema).parquet(path)

@@ -28,8 +28,8 @@ by the splitters, which order by all the bytes on both sides.
 
 Defined results: a null text is empty; a null doc_id is smaller than any
 other; rows with equal doc_id and equal text are one document (each row gets
-its result), rows with equal doc_id and other text are ordered by a hash of
-the text; texts shorter than 100 bytes stay; an empty table gives an empty
+its result), rows with equal doc_id and other text are documents of their own, told
+apart and ordered by a 64-bit hash of the text; texts shorter than 100 bytes stay; an empty table gives an empty
 result.
 """
 
@@ -53,16 +53,15 @@ REACH = MATCH - TOKEN + 1
 FLUSH_ROWS = 1 << 20     # phrases of one task that are compared before the shuffle
 BUCKET_ROWS = 100_000    # suffixes of a bucket, about
 
-# A phrase's place: 25 bits of the text's hash, 31 of its start, 6 of its length - 1.
-_START_BITS, _LEN_BITS = 31, 6
+_LEN_BITS = 6        # a phrase's place: its start, and 6 bits of its length - 1
 
 
-def _pack(text_hash, start, length):
-    return ((text_hash << _START_BITS) | start) << _LEN_BITS | (length - 1)
+def _pack(start, length):
+    return start << _LEN_BITS | (length - 1)
 
 
 def _unpack(where):
-    return (where >> (_START_BITS + _LEN_BITS), (where >> _LEN_BITS) & ((1 << _START_BITS) - 1), (where & ((1 << _LEN_BITS) - 1)) + 1)
+    return where >> _LEN_BITS, (where & ((1 << _LEN_BITS) - 1)) + 1
 
 
 def _smallest(h: np.ndarray, w: int) -> np.ndarray:
@@ -100,7 +99,7 @@ def phrases(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return np.searchsorted(offsets, p, "right") - 1, p, length, a, token[a], hashed(p, start[last] + MATCH)
 
 
-PHRASE = T.StructType([T.StructField(n, T.LongType()) for n in ("token", "phrase", "doc", "place")])
+PHRASE = T.StructType([T.StructField(n, T.LongType()) for n in ("token", "phrase", "doc", "text_hash", "place")])
 #: token of rows that only say that a phrase goes; spread by doc
 _GONE = np.int64(-1)
 
@@ -112,24 +111,24 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = 0
 
     def flush():
-        token, phrase, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((place, doc, phrase, token))
-        token, phrase, doc, place = token[order], phrase[order], doc[order], place[order]
+        token, phrase, doc, text_hash, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((place, text_hash, doc, phrase, token))
+        token, phrase, doc, text_hash, place = token[order], phrase[order], doc[order], text_hash[order], place[order]
         same = np.zeros(len(token), bool)
         same[1:] = (token[1:] == token[:-1]) & (phrase[1:] == phrase[:-1])
         twin = same.copy()
-        twin[1:] &= (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])
+        twin[1:] &= (doc[1:] == doc[:-1]) & (text_hash[1:] == text_hash[:-1]) & (place[1:] == place[:-1])
         place = np.where(same, ~place, place)
         token = np.where(same, tb.mix((doc + place).view(tb.U)).view(np.int64), token)
         for at in range(0, len(token), 50_000):
             keep = np.flatnonzero(~twin[at:at + 50_000]) + at
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, phrase, doc, place)], names=PHRASE.names)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, phrase, doc, text_hash, place)], names=PHRASE.names)
 
     for part in tb.slices(batches, "text"):
         data, offsets = tb.text_bytes(part.column("text"))
         text, start, length, _, token, phrase = phrases(data, offsets)
         doc, text_hash = (part.column(c).to_numpy(zero_copy_only=False)[text] for c in ("doc", "text_hash"))
-        held.append((token.view(np.int64), phrase.view(np.int64), doc, _pack(text_hash, start - offsets[text], length)))
+        held.append((token.view(np.int64), phrase.view(np.int64), doc, text_hash, _pack(start - offsets[text], length)))
         rows += len(start)
         if rows >= FLUSH_ROWS:
             yield from flush()
@@ -138,48 +137,47 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-MARK = T.StructType([T.StructField("doc", T.LongType()), T.StructField("place", T.LongType()), T.StructField("asks", T.BooleanType())])
+MARK = T.StructType([*(T.StructField(n, T.LongType()) for n in ("doc", "text_hash", "place")), T.StructField("asks", T.BooleanType())])
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From phrases sorted by (token, phrase, doc, place): those that go, and
-    those that ask for a suffix, the first of each phrase whose token has
-    more than one.  Holds one row from batch to batch."""
-    names = ("token", "phrase", "doc", "place")
+    """From phrases sorted by (token, phrase, doc, text_hash, place): those
+    that go, and those that ask for a suffix, the first of each phrase whose
+    token has more than one.  Holds one row from batch to batch."""
     last = None                          # the row before
     open_row, open_shared = None, False  # the last first-of-its-phrase, and whether its token had one before
     for batch in batches:
         if not batch.num_rows:
             continue
-        token, phrase, doc, place = (batch.column(n).to_numpy() for n in names)
-        prev = [np.concatenate([[x[0] ^ 1 if last is None else last[i]], x[:-1]]) for i, x in enumerate((token, phrase, doc, place))]
-        last = (token[-1], phrase[-1], doc[-1], place[-1])
+        columns = [batch.column(n).to_numpy() for n in PHRASE.names]
+        token, phrase, doc, text_hash, place = columns
+        prev = [np.concatenate([[x[0] ^ 1 if last is None else last[i]], x[:-1]]) for i, x in enumerate(columns)]
+        last = tuple(x[-1] for x in columns)
         gone_already = place < 0
         same = (token == prev[0]) & (phrase == prev[1])
-        twin = same & (doc == prev[2]) & (place == prev[3])
-        first = ~same & ~gone_already
-        out_doc, out_place = [doc[gone_already], doc[same & ~twin & ~gone_already]], [~place[gone_already], place[same & ~twin & ~gone_already]]
-        f_token, f_doc, f_place = token[first], doc[first], place[first]
-        ask_doc, ask_place = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(f_token):
+        twin = same & (doc == prev[2]) & (text_hash == prev[3]) & (place == prev[4])
+        first, goes = ~same & ~gone_already, same & ~twin & ~gone_already
+        of_row = (token, doc, text_hash, place)
+        asks = [x[first] for x in of_row]
+        if len(asks[0]):
             if open_row is not None:
-                f_token, f_doc, f_place = (np.concatenate([[o], x]) for o, x in zip(open_row, (f_token, f_doc, f_place), strict=True))
-            shared = np.zeros(len(f_token), bool)
-            pair = f_token[1:] == f_token[:-1]
+                asks = [np.concatenate([[o], x]) for o, x in zip(open_row, asks, strict=True)]
+            shared = np.zeros(len(asks[0]), bool)
+            pair = asks[0][1:] == asks[0][:-1]
             shared[1:] |= pair
             shared[:-1] |= pair
             shared[0] |= open_row is not None and open_shared
-            ask_doc, ask_place = f_doc[:-1][shared[:-1]], f_place[:-1][shared[:-1]]
-            open_row, open_shared = (f_token[-1], f_doc[-1], f_place[-1]), bool(shared[-1])
-        parts = [(d, p, False) for d, p in zip(out_doc, out_place, strict=True)] + [(ask_doc, ask_place, True)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[0] for x in parts])), pa.array(np.concatenate([x[1] for x in parts])),
-                                          pa.array(np.concatenate([np.full(len(x[0]), x[2]) for x in parts]))], names=MARK.names)
+            open_row, open_shared = tuple(x[-1] for x in asks), bool(shared[-1])
+            asks = [x[:-1][shared[:-1]] for x in asks]
+        parts = [(doc[gone_already], text_hash[gone_already], ~place[gone_already], False), (doc[goes], text_hash[goes], place[goes], False), (*asks[1:], True)]
+        yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate([x[i] for x in parts])) for i in range(3)),
+                                          pa.array(np.concatenate([np.full(len(x[0]), x[3]) for x in parts]))], names=MARK.names)
     if open_row is not None and open_shared:
-        yield pa.RecordBatch.from_arrays([pa.array([open_row[1]]), pa.array([open_row[2]]), pa.array([True])], names=MARK.names)
+        yield pa.RecordBatch.from_arrays([*(pa.array([x]) for x in open_row[1:]), pa.array([True])], names=MARK.names)
 
 
 SUFFIX = T.StructType([T.StructField("suffix", T.BinaryType()), T.StructField("before", T.BinaryType()),
-                       T.StructField("doc", T.LongType()), T.StructField("place", T.LongType())])
+                       *(T.StructField(n, T.LongType()) for n in ("doc", "text_hash", "place"))])
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,12 +191,12 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = part.column("places")
         owner = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(asked.offsets)))
         place = asked.flatten().to_numpy(zero_copy_only=False)
-        _, start, length = _unpack(place)
+        start, length = _unpack(place)
         start = start + offsets[owner]
-        doc, body = part.column("doc").to_numpy()[owner], data.tobytes()
+        doc, text_hash, body = part.column("doc").to_numpy()[owner], part.column("text_hash").to_numpy()[owner], data.tobytes()
         rows = [(body[a:s + n - 1 + MATCH], body[s:a][::-1]) for a, s, n in zip(anchor_of[start], start, length, strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()),
-                                          pa.array(doc), pa.array(place)], names=SUFFIX.names)
+                                          pa.array(doc), pa.array(text_hash), pa.array(place)], names=SUFFIX.names)
 
 
 def _columns(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -250,7 +248,8 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = pa.Table.from_batches(got).combine_chunks()
     split = part["split"].to_numpy()
     doc = part["doc"].to_numpy()
-    text_hash, start, length = _unpack(part["place"].to_numpy())
+    text_hash = part["text_hash"].to_numpy()
+    start, length = _unpack(part["place"].to_numpy())
     suffix, _ = _columns(part["suffix"], 104)
     before, b_len = _columns(part["before"], 64)
     anchor = start + b_len
@@ -298,9 +297,8 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _key(doc_id: str, text: str) -> tuple[Column, Column]:
-    """What tells documents apart: the id, and 25 bits of the text's hash."""
-    return (F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))),
-            F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(1 << (62 - _START_BITS - _LEN_BITS))))
+    """What tells documents apart: the id, and 64 bits of the text's hash."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))), F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -313,20 +311,18 @@ def repeated_runs(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     that also start earlier."""
     keyed = _keyed(df, doc_id, text)
     marks = written(keyed.mapInArrow(_parse, PHRASE).repartition("token")
-                    .sortWithinPartitions("token", "phrase", "doc", "place").mapInArrow(_classes, MARK))
-    low, mid = (1 << _LEN_BITS) - 1, (1 << _START_BITS) - 1
-    hash_of = F.shiftright("place", _START_BITS + _LEN_BITS)
-    gone = marks.where("not asks").select("doc", hash_of.alias("text_hash"), F.shiftright("place", _LEN_BITS).bitwiseAND(mid).alias("start"),
-                                          (F.col("place").bitwiseAND(low) + 1).alias("length"))
-    asked = marks.where("asks").groupBy("doc", hash_of.alias("text_hash")).agg(F.sort_array(F.collect_list("place")).alias("places"))
-    suffixes = written(keyed.join(asked.hint("shuffle_hash"), ["doc", "text_hash"]).mapInArrow(_suffixes, SUFFIX))
+                    .sortWithinPartitions(*PHRASE.names).mapInArrow(_classes, MARK))
+    gone = marks.where("not asks").select("doc", "text_hash", F.shiftright("place", _LEN_BITS).alias("start"),
+                                          (F.col("place").bitwiseAND((1 << _LEN_BITS) - 1) + 1).alias("length"))
+    asked = marks.where("asks").groupBy("doc", "text_hash").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    suffixes = written(keyed.join(asked, ["doc", "text_hash"]).mapInArrow(_suffixes, SUFFIX))
     suffixes = suffixes.withColumn("token", F.substring("suffix", 1, TOKEN))
     buckets = max(1, -(-suffixes.count() // BUCKET_ROWS))
     hot = suffixes.groupBy("token").count().where(F.col("count") > BUCKET_ROWS // 2).select("token", F.lit(True).alias("hot"))
     within = lambda c: F.when(F.col("split"), F.col(c))
     found = written(suffixes.join(hot, "token", "left").withColumn("split", F.col("hot").isNotNull())
-                    .repartitionByRange(buckets, "token", within("suffix"), within("before"), within("doc"), within("place"))
-                    .select("suffix", "before", "doc", "place", "split").mapInArrow(_bucket, RUN))
+                    .repartitionByRange(buckets, "token", within("suffix"), within("before"), within("doc"), within("text_hash"), within("place"))
+                    .select("suffix", "before", "doc", "text_hash", "place", "split").mapInArrow(_bucket, RUN))
     at = F.struct("doc", "text_hash", "start")
     edges = found.where("window is not null")
     first = edges.groupBy("window").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -358,7 +354,7 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     runs = repeated_runs(df, doc_id, text).groupBy("doc", "text_hash").agg(F.collect_set(F.struct("start", "length")).alias("_runs"))
     runs = runs.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_text_hash"), "_runs")
     doc, text_hash = _key(doc_id, text)
-    joined = df.join(runs.hint("shuffle_hash"), (doc == F.col("_doc")) & (text_hash == F.col("_text_hash")), "left").drop("_doc", "_text_hash")
+    joined = df.join(runs, (doc == F.col("_doc")) & (text_hash == F.col("_text_hash")), "left").drop("_doc", "_text_hash")
     schema = T.StructType(df.schema.fields + CUT)
 
     def run(batches):

@@ -64,3 +64,19 @@ def test_query_on_documents(spark):
     want = {k[0]: v for k, v in brute(rows).items()}
     for r in queries.QUERIES["op9_suffix_array_dedup"](spark, sf).collect():
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id]
+
+
+def test_texts_under_one_id_are_told_apart_by_the_whole_hash(spark):
+    texts = spark.range(20_000).selectExpr("concat(sha2(cast(id as string), 512), sha2(concat(id, 'x'), 512)) as text")
+    by_bits = {}
+    for r in texts.selectExpr("text", "xxhash64(text) & ((1 << 25) - 1) as bits").collect():
+        by_bits.setdefault(r.bits, []).append(r.text)
+    pairs = [x for x in by_bits.values() if len(x) > 1]
+    assert pairs                                          # texts whose hashes agree in 25 bits
+    rows = [row for i, (a, b, *_) in enumerate(pairs) for row in ((2 * i, a), (2 * i + 1, a), (2 * i + 1, b))]
+    rows += [(None, r.text) for r in texts.limit(3000).collect()] + [(None, rows[0][1])]
+    want = brute(rows)
+    for key, value in result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)):
+        if key[1] != rows[0][1] or key[0] >= 0:
+            assert value == want[key], key
+    assert all(want[2 * i + 1, b][1] == 0 for i, (_, b, *_) in enumerate(pairs) if (None, b) not in rows)

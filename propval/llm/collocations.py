@@ -17,12 +17,13 @@ one aggregation of a row a word is all that reads the texts:
 * phrases of 4 words are the windows of the paths, and a shorter phrase
   inside a path is covered by a longer one with the path's weight.
 
-Before the graph is built, one pass over the texts fills a table of
-``SLOTS`` saturating counters by the hashes of all words and pairs.  What
-shares a counter below ``least`` can't be part of a candidate, so pieces are
-cut there: a cut ends a run of words like the end of a piece, with its stubs.
-The counts of phrases that a candidate is made of don't change; the table has
-a fixed size, and when it is full nothing is cut and only the graph is larger.
+Before the graph is built, three passes over the texts fill a table of
+``SLOTS`` saturating counters each: by the hashes of all words and pairs, then
+of the triples whose pairs may be frequent, then of the 4 words whose triples
+may be.  What shares a counter below ``least`` is no candidate and no part of
+one, so flow ends before it in a stub, as at the end of a piece.  That changes
+no count of a phrase that occurs ``least`` times or is part of one that does;
+the tables have a fixed size, and where they fill up the graph is only larger.
 
 Defined results: a null text is empty; a null language is ``und``; repeated
 rows count as often as they are there; other columns are ignored; an empty
@@ -31,8 +32,12 @@ table gives no phrases.  Phrases are compared as text, not by hashes.
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +47,8 @@ from propval.llm.store import written
 WORDS = 4                                  # of the longest gram
 LEAST = 30                                 # occurrences of a candidate
 TOP = 2000                                 # phrases returned for a language
+TABLE_OF = {1: 0, 2: 0, 3: 1, 4: 2}        # the table that counts grams of each length
+TABLES = 3
 SLOT_BITS = 24
 SLOTS = 1 << SLOT_BITS
 PART = 1 << 16                             # counters in a row of the table
@@ -75,33 +82,51 @@ class Words:
         self.followed[:-1] = (self.owner[1:] == self.owner[:-1]) & (breaks[self.start[1:]] == breaks[self.end[:-1]])
         lang, at = tb.text_bytes(part.column("lang"))
         lang = tb.SpanHash(lang)(at[:-1], at[1:])
-        self.word = tb.mix(lang[self.owner] * tb.BASE + tb.SpanHash(self.data, lower=True)(self.start, self.end)) if len(self.start) else np.zeros(0, tb.U)
-
-    def pair(self) -> tuple[np.ndarray, np.ndarray]:
-        """(number of the first word, hash) of every pair of words."""
-        at = np.flatnonzero(self.followed)
-        return at, tb.mix(self.word[at] * tb.BASE + self.word[at + 1])
+        self.key = self.word = tb.mix(lang[self.owner] * tb.BASE + tb.SpanHash(self.data, lower=True)(self.start, self.end)) if len(self.start) else np.zeros(0, tb.U)
+
+    def grams(self, frequent: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 1 to 4 words: (number of the first word, hash) of those that may
+        be frequent by the tables so far, up to the first length that the next
+        table has to count."""
+        at, key = np.arange(len(self.word)), self.word
+        fits = np.ones(len(self.word), bool)               # a gram one word shorter begins here
+        for k in range(1, WORDS + 1):
+            if k > 1:
+                at = np.flatnonzero(fits[:-1] & fits[1:] & (self.followed[:-1] | (k > 2)))
+                key = tb.mix(self.key[at] * tb.BASE + self.word[at + k - 1])
+            if TABLE_OF[k] < len(frequent):
+                keep = frequent[TABLE_OF[k]][_slot(key)]
+                at, key = at[keep], key[keep]
+            yield at, key
+            if TABLE_OF[k] == len(frequent) and (k == WORDS or TABLE_OF[k + 1] > len(frequent)):
+                return
+            fits = np.zeros(len(self.word), bool)
+            fits[at] = True
+            self.key = np.zeros(len(self.word), tb.U)
+            self.key[at] = key
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> tb.U(64 - SLOT_BITS)).astype(np.int64)
 
 
-def _tables(batches):
-    """One table of counters for all rows of a task, in parts; a part that is
-    mostly empty as positions and counters."""
-    table = np.zeros(SLOTS, np.uint8)
-    for part in tb.slices(batches, "text", SLICE):
-        w = Words(part)
-        for hashes in (w.word, w.pair()[1]):
-            at, n = np.unique(_slot(hashes), return_counts=True)
-            table[at] = np.minimum(table[at] + n, 255)
-    for k, counters in enumerate(table.reshape(-1, PART)):
-        at = np.flatnonzero(counters)
-        if len(at):
-            few = 3 * len(at) < PART
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([at.astype(np.uint16).tobytes() if few else None], pa.binary()),
-                                              pa.array([(counters[at] if few else counters).tobytes()], pa.binary())], names=["part", "at", "n"])
+def _tables(frequent: list[Broadcast]):
+    def run(batches):
+        """One table of counters for all rows of a task, in parts; a part that
+        is mostly empty as positions and counters."""
+        table, before = np.zeros(SLOTS, np.uint8), [np.unpackbits(b.value).view(bool) for b in frequent]
+        for part in tb.slices(batches, "text", SLICE):
+            for k, (_, key) in enumerate(Words(part).grams(before), 1):
+                if TABLE_OF[k] == len(before):
+                    at, n = np.unique(_slot(key), return_counts=True)
+                    table[at] = np.minimum(table[at] + n, 255)
+        for k, counters in enumerate(table.reshape(-1, PART)):
+            at = np.flatnonzero(counters)
+            if len(at):
+                few = 3 * len(at) < PART
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([at.astype(np.uint16).tobytes() if few else None], pa.binary()),
+                                                  pa.array([(counters[at] if few else counters).tobytes()], pa.binary())], names=["part", "at", "n"])
+    return run
 
 
 def _filled(least: int):
@@ -118,11 +143,11 @@ def _filled(least: int):
     return run
 
 
-def maybe_frequent(texts: DataFrame, least: int) -> np.ndarray:
-    """A bit for each counter: whether the words and pairs that share it occur
-    ``least`` times together (255 at most)."""
+def maybe_frequent(texts: DataFrame, least: int, frequent: list[Broadcast]) -> np.ndarray:
+    """The next table: a bit for each counter, whether the grams that share it
+    occur ``least`` times together (255 at most)."""
     bits = np.zeros((SLOTS // PART, PART // 8), np.uint8)
-    parts = texts.mapInArrow(_tables, "part int, at binary, n binary").repartition(16, "part")
+    parts = texts.mapInArrow(_tables(frequent), "part int, at binary, n binary").repartition(16, "part")
     for k, b in parts.mapInArrow(_filled(min(least, 255)), "part int, bits binary").collect():    # SLOTS / 8 bytes
         bits[k] = np.frombuffer(b, np.uint8)
     return bits.ravel()
@@ -148,33 +173,27 @@ GRAMS = "lang string, k int, phrase string, n long"
 def grams(texts: DataFrame, least: int) -> DataFrame:
     """(lang, k, phrase, n): the edges (k = 4) and stubs (k < 4) of the graph,
     and the number of all words of the language (k = 0)."""
-    shared = texts.sparkSession.sparkContext.broadcast(maybe_frequent(texts, least))
+    tables: list[Broadcast] = []
+    for _ in range(TABLES):
+        tables.append(texts.sparkSession.sparkContext.broadcast(maybe_frequent(texts, least, tables)))
 
     def run(batches):
-        frequent = np.unpackbits(shared.value).view(bool)
+        frequent = [np.unpackbits(b.value).view(bool) for b in tables]
         for part in tb.slices(batches, "text", SLICE):
             w = Words(part)
             lang = part.column("lang")
             docs = np.flatnonzero(n := np.bincount(w.owner, minlength=part.num_rows))
             yield pa.RecordBatch.from_arrays([lang.take(pa.array(docs)), pa.array(np.zeros(len(docs), np.int32)), pa.array([""] * len(docs), pa.string()),
                                               pa.array(n[docs])], names=["lang", "k", "phrase", "n"])
-            keep = frequent[_slot(w.word)]
-            first, pair = w.pair()
-            joined = np.zeros(len(w.word), bool)
-            joined[first] = frequent[_slot(pair)]
-            joined &= keep
-            joined[:-1] &= keep[1:]
-            key, at = w.word.copy(), np.flatnonzero(keep)
-            for k in range(1, WORDS + 1):                  # words whose run goes on for k words, or more
-                ends = at if k == WORDS else at[~joined[at + k - 1]]
+            found = [*w.grams(frequent), (np.zeros(0, np.int64), None)]
+            for k, ((at, key), (longer, _)) in enumerate(itertools.pairwise(found), 1):
+                goes_on = np.zeros(len(w.word), bool)
+                goes_on[longer] = True
+                _, i, n = np.unique(key[~goes_on[at]], return_index=True, return_counts=True)
+                ends = at[~goes_on[at]][i]
                 if len(ends):
-                    _, i, n = np.unique(key[ends], return_index=True, return_counts=True)
-                    ends = ends[i]
                     yield pa.RecordBatch.from_arrays([lang.take(pa.array(w.owner[ends])), pa.array(np.full(len(ends), k, np.int32)), _phrases(w, ends, k), pa.array(n)],
                                                      names=["lang", "k", "phrase", "n"])
-                if k < WORDS:
-                    at = at[joined[at + k - 1]]
-                    key[at] = tb.mix(key[at] * tb.BASE + w.word[at + k])
     return texts.mapInArrow(run, GRAMS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 

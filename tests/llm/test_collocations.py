@@ -57,7 +57,7 @@ def test_all_columns_against_brute_force(spark):
 def test_cuts_change_nothing_and_neither_do_shared_counters(spark, monkeypatch):
     rows = texts(200)
     df = spark.createDataFrame(rows, "text string, lang string")
-    monkeypatch.setattr(co, "maybe_frequent", lambda texts, least: co.np.full(co.SLOTS // 8, 255, co.np.uint8))
+    monkeypatch.setattr(co, "maybe_frequent", lambda texts, least, frequent: co.np.full(co.SLOTS // 8, 255, co.np.uint8))
     assert got(co.collocations(df)) == brute(rows)
 
 

@@ -52,7 +52,7 @@ TABLES = 3
 SLOT_BITS = 24
 SLOTS = 1 << SLOT_BITS
 PART = 1 << 16                             # counters in a row of the table
-SLICE = 2 << 20                            # bytes of text that one numpy pass takes
+SLICE = 1 << 20                            # bytes of text that one numpy pass takes
 
 IS_BREAK = np.zeros(256, bool)
 IS_BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -95,7 +95,7 @@ class Words:
                 at = np.flatnonzero(fits[:-1] & fits[1:] & (self.followed[:-1] | (k > 2)))
                 key = tb.mix(self.key[at] * tb.BASE + self.word[at + k - 1])
             if TABLE_OF[k] < len(frequent):
-                keep = frequent[TABLE_OF[k]][_slot(key)]
+                keep = _marked(frequent[TABLE_OF[k]], _slot(key))
                 at, key = at[keep], key[keep]
             yield at, key
             if TABLE_OF[k] == len(frequent) and (k == WORDS or TABLE_OF[k + 1] > len(frequent)):
@@ -110,11 +110,16 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> tb.U(64 - SLOT_BITS)).astype(np.int64)
 
 
+def _marked(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Which slots' bits are set (the first bit of a byte is the highest)."""
+    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+
+
 def _tables(frequent: list[Broadcast]):
     def run(batches):
         """One table of counters for all rows of a task, in parts; a part that
         is mostly empty as positions and counters."""
-        table, before = np.zeros(SLOTS, np.uint8), [np.unpackbits(b.value).view(bool) for b in frequent]
+        table, before = np.zeros(SLOTS, np.uint8), [b.value for b in frequent]
         for part in tb.slices(batches, "text", SLICE):
             for k, (_, key) in enumerate(Words(part).grams(before), 1):
                 if TABLE_OF[k] == len(before):
@@ -178,7 +183,7 @@ def grams(texts: DataFrame, least: int) -> DataFrame:
         tables.append(texts.sparkSession.sparkContext.broadcast(maybe_frequent(texts, least, tables)))
 
     def run(batches):
-        frequent = [np.unpackbits(b.value).view(bool) for b in tables]
+        frequent = [b.value for b in tables]
         for part in tb.slices(batches, "text", SLICE):
             w = Words(part)
             lang = part.column("lang")

@@ -214,6 +214,14 @@ def impute_train(df: DataFrame, is_train: Column, cols: list[str]) -> DataFrame:
     return fill_medians(df, column_medians(df.filter(is_train), cols))
 
 
+def fill_medians_by(df: DataFrame, is_train: Column, cols: list[str], by: str) -> DataFrame:
+    """Medians of each group's train rows, applied to all its rows; a column
+    without a value in a group's train rows stays as it is."""
+    medians = quantiles(df.filter(is_train), [by], {f"_m{i}": (c, 0.5) for i, c in enumerate(cols)})
+    j = df.join(medians, by, "left")
+    return j.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_m{i}")) for i, c in enumerate(cols)}).drop(*[f"_m{i}" for i in range(len(cols))])
+
+
 def label_encoding(df: DataFrame, cols: list[str], max_levels: int = 100,
                    unknown: str = "Unknown") -> dict[str, list[str]]:
     """Fitted label sets: NULL read as ``unknown``, which is always reserved;
@@ -407,3 +415,13 @@ def cluster_target_stats(df: DataFrame, is_train: Column, price: str, cluster: s
     med = quantile_row(train, {"m": (price, 0.5)})["m"]
     j = df.join(stats, cluster, "left")
     return j.withColumns({c: F.coalesce(F.col(c), F.lit(med)) for c in ("cluster_avg_price", "cluster_med_price")})
+
+
+def cluster_target_stats_by(df: DataFrame, is_train: Column, price: str, by: str, cluster: str = "geo_cluster") -> DataFrame:
+    """Cluster mean / median price within each group, from its train rows only;
+    clusters without train rows get the group's train median."""
+    train = df.filter(is_train)
+    stats = agg_with_quantiles(train, [by, cluster], [F.avg(price).alias("cluster_avg_price")], {"cluster_med_price": (price, 0.5)})
+    whole = quantiles(train, [by], {"_med": (price, 0.5)})
+    j = df.join(stats, [by, cluster], "left").join(whole, by, "left")
+    return j.withColumns({c: F.coalesce(F.col(c), F.col("_med")) for c in ("cluster_avg_price", "cluster_med_price")}).drop("_med")

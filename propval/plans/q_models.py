@@ -12,6 +12,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from propval.functions import tiers
+from propval.operators import boosting as BO
 from propval.operators import features as FE
 from propval.operators import importance as IM
 from propval.operators import metrics as M
@@ -36,8 +37,7 @@ POOLED_FEATURES = ["living_sqft", "lot_sqft", "year_built", "bedrooms", "full_ba
 LISTING_FEATURES = ["gla_sqft", "lot_sqft", "bedrooms", "full_baths", "total_baths", "property_age",
                     "effective_age", "gla_to_lot_ratio", "sqft_per_bedroom", "has_garage", "has_pool",
                     "has_fireplace", "hoa_monthly", "latitude", "longitude"]
-N_ROUNDS = 20
-TIER_ROUNDS = 10
+N_ROUNDS = 500
 
 
 def pooled_frame(spark, sf):
@@ -65,8 +65,8 @@ def _split(df, id_col, frac=0.7):
 
 @query("q_quantile_gbt")
 def q_quantile_gbt(spark, sf):
-    """q10 / q50 / q90 boosting on log1p(price) (shared trees, per-quantile
-    leaf percentiles), test predictions with crossing fixed."""
+    """q10 / q50 / q90 pinball models on log1p(price), 500 rounds each, test
+    predictions with crossing fixed."""
     train, test = _split(_shared(pooled_frame(spark, sf)), "property_id")
     train, test = MD.prepare_features(train, test, POOLED_FEATURES)
     model = MD.quantile_boost(train, POOLED_FEATURES, "sale_price", n_rounds=N_ROUNDS)
@@ -77,58 +77,83 @@ def q_quantile_gbt(spark, sf):
 
 @query("q_gbt_price")
 def q_gbt_price(spark, sf):
-    """Squared-loss boosted trees on listing features (80/20 hash split)."""
-    d = listing_frame(spark, sf)
-    train, test = _split(d, "cc_list_id", 0.8)
+    """Squared-loss boosted trees, 300 rounds, on listing features (80/20 hash split)."""
+    train, test = _split(_shared(listing_frame(spark, sf)), "cc_list_id", 0.8)
     train, test = MD.prepare_features(train, test, LISTING_FEATURES)
-    m = MD.gbt_price(train, LISTING_FEATURES, "price", max_iter=30)
-    return m.transform(MD.assemble(test, LISTING_FEATURES)).select(
-        "cc_list_id", F.col("price").alias("actual"), F.col("prediction").alias("predicted"))
+    models = MD.boosted(train, LISTING_FEATURES, "price", "cc_list_id")
+    return BO.score(test, LISTING_FEATURES, list(models.values()), {"predicted": "price"}).select("cc_list_id", F.col("price").alias("actual"), "predicted")
+
+
+def _depth_grid(spark, sf):
+    """Per router tier, depths 6 to 16 at 500 rounds, on a validation bucket of
+    the train split (the test set is not used for selection)."""
+    train, test = _split(_shared(listing_frame(spark, sf)), "cc_list_id", 0.8)
+    fit, valid = _split(train, "cc_list_id", 0.64)
+    medians = FE.column_medians(fit, LISTING_FEATURES)
+    fit, valid, test = (FE.fill_medians(x, medians) for x in (fit, valid, test))
+    return (*MD.depth_grid(fit, valid, LISTING_FEATURES, "price", "router_tier", rounds=N_ROUNDS, id_col="cc_list_id"), test)
 
 
 @query("q_depth_sweep")
 def q_depth_sweep(spark, sf):
-    """Depths 6..16 on a validation bucket of the train split (the test set is
-    not used for selection)."""
-    d = listing_frame(spark, sf)
-    train, _ = _split(d, "cc_list_id", 0.8)
-    fit, valid = _split(train, "cc_list_id", 0.8)
-    fit, valid = MD.prepare_features(fit, valid, LISTING_FEATURES)
-    return MD.depth_sweep(fit, valid, LISTING_FEATURES, "price", depths=(6, 8, 10, 12, 14, 16), max_iter=10)
+    """Metrics of every tier and depth, the best depth of each tier marked."""
+    return _depth_grid(spark, sf)[0]
+
+
+@query("q_depth_predictions")
+def q_depth_predictions(spark, sf):
+    """Test rows scored by the best depth of their tier."""
+    _, models, best, test = _depth_grid(spark, sf)
+    depth = dict(best.collect())                                                                     # one row per tier
+    chosen = [m for m in models.values() if m.name == f"d{depth.get(int(m.group))}|{m.group}"]
+    for m in chosen:
+        m.name = f"best|{m.group}"
+    p = BO.score(test, LISTING_FEATURES, chosen, {"predicted": "best"}, "router_tier").withColumn("predicted", F.expm1("predicted"))
+    return p.join(best, "router_tier").select("cc_list_id", "router_tier", "best_depth", F.col("price").alias("actual"), "predicted")
+
+
+@query("q_depth_importance")
+def q_depth_importance(spark, sf):
+    """Importances of the best depth of each tier, ranked with shares."""
+    _, models, best, test = _depth_grid(spark, sf)
+    n = dict(test.groupBy("router_tier").count().collect())                                          # one row per tier
+    rows = [(int(m.group), f, float(x), n.get(int(m.group), 0)) for t, d in best.collect() for m in [models[f"d{d}|{t}"]]
+            for f, x in zip(LISTING_FEATURES, m.gain, strict=True)]
+    return IM.importance_rank(spark.createDataFrame(rows, "tier int, feature string, importance double, n_test long"))
 
 
-def _tier_fit(features, rounds):
-    def fit(tier, train, test):
-        train, test = MD.prepare_features(train, test, features)
-        m = MD.quantile_boost(train, features, "sale_price", n_rounds=rounds)
-        return (m.predict(test.select("property_id", "sale_price", "price_tier", *features))
-                 .withColumns(MD.fix_crossing("pred_q10", "pred_q50", "pred_q90")))
-    return fit
+def _tier_predictions(spark, sf):
+    """Test predictions of all pooled tiers (at least 50 rows before and after
+    the outlier filter): 70/30 split, then train-only cluster target encoding
+    and medians per tier, and q10 / q50 / q90 models of all tiers in one job."""
+    d = _shared(FE.geo_clusters(pooled_frame(spark, sf)))
+    kept, _ = FE.outlier_filter(d, "sale_price")
+    kept = kept.withColumn("_train", FE.hash_split(F.col("property_id"), 0.7))
+    n = {r[0]: r[1] for r in d.groupBy("price_tier").count().collect()}                               # one row per tier
+    m = {r[0]: r[1] for r in kept.groupBy("price_tier").count().collect()}
+    rows = kept.filter(F.col("price_tier").isin([t for t in tiers.TIER_ORDER if min(n.get(t, 0), m.get(t, 0)) >= 50]))
+    feats = POOLED_FEATURES + ["cluster_avg_price", "cluster_med_price"]
+    rows = _shared(FE.cluster_target_stats_by(rows, F.col("_train"), "sale_price", "price_tier"))
+    rows = FE.fill_medians_by(rows, F.col("_train"), feats, "price_tier")
+    model = MD.quantile_boost(rows.filter("_train"), feats, "sale_price", n_rounds=N_ROUNDS, group="price_tier")
+    p = model.predict(rows.filter(~F.col("_train")).select("property_id", "sale_price", "price_tier", *feats))
+    return rows, model, p.withColumns(MD.fix_crossing("pred_q10", "pred_q50", "pred_q90")).select(
+        "property_id", "price_tier", F.col("sale_price").alias("actual"), F.col("pred_q50").alias("predicted"),
+        F.col("pred_q10").alias("pred_lower"), F.col("pred_q90").alias("pred_upper"))
 
 
 @query("q_pooled_tiers")
 def q_pooled_tiers(spark, sf):
-    """Per pooled tier (>= 50 rows before and after the outlier filter):
-    70/30 split, train-only cluster target encoding, q10/50/90 boosting;
-    tier models train concurrently.  Test predictions of all tiers."""
-    d = FE.geo_clusters(pooled_frame(spark, sf))
-    kept, _ = FE.outlier_filter(d, "sale_price")
-    kept = _shared(kept)
-    counts = dict(kept.groupBy("price_tier").count().collect())       # one row per tier
-    before = dict(d.groupBy("price_tier").count().collect())
-    feats = POOLED_FEATURES + ["cluster_avg_price", "cluster_med_price"]
-    frames = {}
-    for t in tiers.TIER_ORDER:
-        if before.get(t, 0) < 50 or counts.get(t, 0) < 50:
-            continue
-        td = kept.filter(F.col("price_tier") == t).withColumn("_tr", FE.hash_split(F.col("property_id"), 0.7))
-        td = FE.cluster_target_stats(td, F.col("_tr"), "sale_price")
-        frames[t] = (td.filter("_tr"), td.filter(~F.col("_tr")))
-    res = MD.train_tiers(frames, _tier_fit(feats, TIER_ROUNDS))
-    out = reduce(lambda a, b: a.unionByName(b), res.values())
-    return out.select("property_id", "price_tier", F.col("sale_price").alias("actual"),
-                      F.col("pred_q50").alias("predicted"), F.col("pred_q10").alias("pred_lower"),
-                      F.col("pred_q90").alias("pred_upper"))
+    """Test predictions of the pooled tier models."""
+    return _tier_predictions(spark, sf)[2]
+
+
+@query("q_pooled_tier_metrics")
+def q_pooled_tier_metrics(spark, sf):
+    """Per pooled tier: rows, MAPE, MAE, R2 and coverage of the 80 % interval."""
+    rows, _, p = _tier_predictions(spark, sf)
+    train = rows.filter("_train").groupBy("price_tier").agg(F.count("*").alias("n_train"))
+    return train.join(MD.tier_metrics(p, "price_tier"), "price_tier")
 
 
 @query("q_isolation_forest")
@@ -155,11 +180,10 @@ def q_model_importance(spark, sf):
     train, test = _split(d, "cc_list_id", 0.8)
     n = {(r[0], r[1]): r[2] for r in d.groupBy("router_tier", FE.hash_split(F.col("cc_list_id"), 0.8)).count().collect()}   # two rows per tier
 
-    def fit(tier, tr, _):
-        tr, _ = MD.prepare_features(tr, tr, LISTING_FEATURES)
-        return MD.feature_importances(MD.gbt_price(tr, LISTING_FEATURES, "price", max_iter=20), LISTING_FEATURES)
-    found = MD.train_tiers({t: (train.filter(F.col("router_tier") == t), None) for t in (0, 1, 2) if n.get((t, True), 0) >= 50}, fit)
-    rows = [(t, f, x, n.get((t, False), 0)) for t, own in sorted(found.items()) for f, x in own]
+    enough = [t for t in (0, 1, 2) if n.get((t, True), 0) >= 50]
+    rows = FE.fill_medians_by(train.filter(F.col("router_tier").isin(enough)), F.lit(True), LISTING_FEATURES, "router_tier")
+    found = MD.boosted(rows, LISTING_FEATURES, "price", "cc_list_id", "router_tier")
+    rows = [(int(m.group), f, float(x), n.get((int(m.group), False), 0)) for m in found.values() for f, x in zip(LISTING_FEATURES, m.gain, strict=True)]
     return IM.importance_rank(spark.createDataFrame(rows, "tier int, feature string, importance double, n_test long"))
 
 
@@ -182,24 +206,20 @@ def q_score_listings(spark, sf):
 
 @query("q_tier_router")
 def q_tier_router(spark, sf):
-    """3-class router (random forest) on listing features; test rows."""
-    d = listing_frame(spark, sf)
-    train, test = _split(d, "cc_list_id", 0.8)
+    """3-class router (200 rounds of boosting per class) on listing features; test rows."""
+    train, test = _split(_shared(listing_frame(spark, sf)), "cc_list_id", 0.8)
     train, test = MD.prepare_features(train, test, LISTING_FEATURES)
-    r = MD.tier_router(train, LISTING_FEATURES, "router_tier")
-    return r.transform(MD.assemble(test, LISTING_FEATURES)).select(
-        "cc_list_id", "router_tier", F.col("prediction").cast("int").alias("pred_tier"))
+    r = MD.tier_router(train, LISTING_FEATURES, "router_tier", "cc_list_id")
+    return r.transform(test).select("cc_list_id", "router_tier", "pred_tier")
 
 
 @query("q_routed_scoring")
 def q_routed_scoring(spark, sf):
     """Route by predicted tier, then score with that tier's model."""
-    d = listing_frame(spark, sf)
-    train, test = _split(d, "cc_list_id", 0.8)
+    train, test = _split(_shared(listing_frame(spark, sf)), "cc_list_id", 0.8)
     train, test = MD.prepare_features(train, test, LISTING_FEATURES)
-    router = MD.tier_router(train, LISTING_FEATURES, "router_tier")
-    frames = {t: (train.filter(F.col("router_tier") == t), None) for t in (0, 1, 2)}
-    models = MD.train_tiers(frames, lambda t, tr, _: MD.gbt_price(tr, LISTING_FEATURES, "price", max_iter=20))
+    router = MD.tier_router(train, LISTING_FEATURES, "router_tier", "cc_list_id")
+    models = MD.boosted(train, LISTING_FEATURES, "price", "cc_list_id", "router_tier")
     p = MD.routed_scoring(test, router, models, LISTING_FEATURES, "cc_list_id")
     return p.join(test.select("cc_list_id", F.col("price").alias("actual")), "cc_list_id")
 
@@ -275,23 +295,12 @@ def q_topic_premium(spark, sf):
     return spark.createDataFrame(rows, "topic int, premium double").withColumn("model_r2", F.lit(r2))
 
 
-def _ab_fit(features, rounds):
-    def fit(tier, train, test):
-        train, test = MD.prepare_features(train, test, features)
-        m = MD.quantile_boost(train, features, "sale_price", quantiles=(0.5,), n_rounds=rounds)
-        return (m.predict(test.select("property_id", "sale_price", "price_tier", *features))
-                 .select("property_id", "sale_price", "price_tier", "pred_q50"))
-    return fit
-
-
-def _run_tiers(d, feats, rounds):
-    frames = {}
-    for t in tiers.TIER_ORDER:
-        td = d.filter(F.col("price_tier") == t)
-        frames[t] = (td.filter(FE.hash_split(F.col("property_id"), 0.7)),
-                     td.filter(~FE.hash_split(F.col("property_id"), 0.7)))
-    res = MD.train_tiers(frames, _ab_fit(feats, rounds))
-    return reduce(lambda a, b: a.unionByName(b), res.values())
+def _run_tiers(d, feats):
+    """Test predictions of a median model per tier (70/30 hash split)."""
+    d = _shared(FE.fill_medians_by(d, FE.hash_split(F.col("property_id"), 0.7), feats, "price_tier"))
+    train, test = _split(d, "property_id")
+    m = MD.quantile_boost(train, feats, "sale_price", quantiles=(0.5,), n_rounds=N_ROUNDS, group="price_tier", held_back=0.0)
+    return m.predict(test.select("property_id", "sale_price", "price_tier", *feats)).select("property_id", "sale_price", "price_tier", "pred_q50")
 
 
 @query("q_ab_experiment")
@@ -304,8 +313,8 @@ def q_ab_experiment(spark, sf):
     topics, _ = TP.lda_topics(docs, 8, 500, "tags", fit_on=docs.filter(FE.hash_split(F.col("property_id"), 0.7)), word_prior=0.01)
     with_t = _shared(base.join(topics, "property_id", "left"))
     tcols = [f"topic_{i}" for i in range(1, 9)]
-    a = _run_tiers(base, POOLED_FEATURES, TIER_ROUNDS).withColumn("method", F.lit("baseline"))
-    b = _run_tiers(with_t, POOLED_FEATURES + tcols, TIER_ROUNDS).withColumn("method", F.lit("topics"))
+    a = _run_tiers(base, POOLED_FEATURES).withColumn("method", F.lit("baseline"))
+    b = _run_tiers(with_t, POOLED_FEATURES + tcols).withColumn("method", F.lit("topics"))
     p = a.unionByName(b).select("property_id", "method", "price_tier", F.col("sale_price").alias("actual"),
                                 F.col("pred_q50").alias("predicted"))
     return M.ab_lift(p, "method", "price_tier", "baseline", "topics")
@@ -336,7 +345,7 @@ def q_topic_experiment(spark, sf):
         d = _shared(base.join(t.select("property_id", *tcols), "property_id", "left").fillna(0.0, subset=tcols))
         train, test = _split(d, "property_id")
         train, test = MD.prepare_features(train, test, POOLED_FEATURES + tcols)
-        m = MD.quantile_boost(train, POOLED_FEATURES + tcols, "sale_price", quantiles=(0.5,), n_rounds=N_ROUNDS)
+        m = MD.quantile_boost(train, POOLED_FEATURES + tcols, "sale_price", quantiles=(0.5,), n_rounds=N_ROUNDS, held_back=0.0)
         preds.append(m.predict(test.select("property_id", "sale_price", *POOLED_FEATURES, *tcols))
                      .select("property_id", F.lit(name).alias("method"), F.col("sale_price").alias("actual"),
                              F.col("pred_q50").alias("predicted")))

@@ -22,6 +22,7 @@ from propval.operators import tags as TG
 from propval.operators import text as TX
 from propval.operators import topics as TP
 from propval.operators.iforest import isolation_forest
+from propval.operators.topic_reports import dominant_topic
 from propval.plans.q_extract import LEAKY_COLUMNS, ID_COLUMNS, extract
 from propval.plans.q_features import prior_sale_input
 from propval.plans.q_metrics import topic_table
@@ -237,13 +238,31 @@ def q_lda_topics(spark, sf):
 
 @query("q_lda_split")
 def q_lda_split(spark, sf):
-    """Vocabulary (200 terms) and LDA (k=8, word prior 0.01) fitted on the
-    train split of the combined documents, applied to every document."""
+    """Per router tier (by the split documents' price, 3 tiers): vocabulary (200
+    terms) and LDA (k=8, word prior 0.01) fitted on the tier's train split, its
+    topics cut to their top 20 terms, and every document of the tier folded in
+    against them; documents without a topic term get 1/8."""
     both = TX.documents_with_comments(fx.comments(spark, sf), fx.parsed_output(spark, sf))
-    docs = TX.combined_document(both, "public_listing_comments", "parsed_output", "B")
-    train = docs.filter(FE.hash_split(F.col("property_id"), 0.7))
-    out, _ = TP.lda_topics(docs, 8, 200, "tokens", binary=False, fit_on=train, word_prior=0.01)
-    return out
+    docs = TX.combined_document(both, "public_listing_comments", "parsed_output", "B").select("property_id", "tokens")
+    tier = pooled_frame(spark, sf).select("property_id", tiers.router_tier(F.col("sale_price")).alias("router_tier"))
+    docs = _shared(docs.join(tier, "property_id", "left").withColumn("router_tier", F.coalesce("router_tier", F.lit(0))))
+    is_train = FE.hash_split(F.col("property_id"), 0.7)
+    found = [r[0] for r in docs.filter(is_train).groupBy("router_tier").count().where("count >= 50").collect()]       # tiers
+    terms = None
+    for t in sorted(found):
+        own = docs.filter((F.col("router_tier") == t) & is_train)
+        _, model = TP.lda_topics(own, 8, 200, "tokens", binary=False, word_prior=0.01)
+        sparse = TP.sparsify_topics(TP.lda_term_weights(model, 8), 20).select(F.lit(t).alias("router_tier"), "topic", "term", "weight")
+        terms = sparse if terms is None else terms.unionByName(sparse)
+    cols = [f"topic_{i}" for i in range(1, 9)]
+    if terms is None:
+        out = docs.select("property_id", "router_tier", *[F.lit(None).cast("double").alias(c) for c in cols])
+    else:
+        counts = docs.select("property_id", "router_tier", F.explode("tokens").alias("term")).groupBy("property_id", "router_tier", "term").agg(F.count("*").alias("n"))
+        folded = TP.fold_in(counts, terms.checkpoint(eager=True), 8, steps=20, by="router_tier")
+        out = docs.select("property_id", "router_tier").join(folded, "property_id", "left")
+    out = out.withColumns({c: F.coalesce(c, F.lit(1.0 / 8)) for c in cols})
+    return out.select("property_id", "router_tier", *cols, dominant_topic(cols).alias("dominant_topic"))
 
 
 def _tag_tfidf(spark, sf, n=500):
@@ -259,27 +278,63 @@ def _tag_tfidf(spark, sf, n=500):
 def q_nmf_topics(spark, sf):
     """NMF (k=10) on the L2 TF-IDF tag matrix, rows L1-normalised."""
     long, v = _tag_tfidf(spark, sf)
-    return TP.nmf_topics(long, 10, v, n_iter=30)
+    return TP.nmf_topics(_shared(long), 10, v)
+
+
+def _tag_counts_long(spark, sf, n=500):
+    """Binary (property_id, tag, term_index) over the top tags of the train split."""
+    long = TG.explode_tags(_tag_docs(spark, sf))
+    vocab = TG.top_n(TG.tag_counts(long.filter(FE.hash_split(F.col("property_id"), 0.7))), n)
+    return _shared(TX.binary_doc_term(long, vocab)), vocab.count()
+
+
+def _train_tfidf(b):
+    """L2-normalised TF-IDF whose document frequencies come from the train
+    split alone; a tag that no train document has is left out."""
+    train = b.filter(FE.hash_split(F.col("property_id"), 0.7))
+    n = train.select("property_id").distinct().count()
+    idf = train.groupBy("tag").agg((F.log((1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
+    w = b.join(idf, "tag")
+    norm = w.groupBy("property_id").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
+    return w.join(norm, "property_id").select("property_id", "tag", "term_index", (F.col("idf") / F.col("norm")).alias("weight"))
+
+
+@query("q_nmf_split")
+def q_nmf_split(spark, sf):
+    """Split-safe NMF (k=8): vocabulary, document frequencies and term factors
+    from the train split, all documents folded in; TF-IDF and counts forms."""
+    b, v = _tag_counts_long(spark, sf)
+    is_train = FE.hash_split(F.col("property_id"), 0.7)
+    forms = {"tfidf": _shared(_train_tfidf(b)), "counts": b.withColumn("weight", F.lit(1.0))}
+    out = [TP.nmf_topics(x, 8, v, fit_on=x.filter(is_train), alpha_w=0.0, alpha_h=0.0).withColumn("form", F.lit(name)) for name, x in forms.items()]
+    return out[0].unionByName(out[1]).withColumn("is_train", is_train)
 
 
 @query("q_gsdmm")
 def q_gsdmm(spark, sf):
     """Dirichlet-multinomial mixture (K=10, alpha=beta=0.1, 30 sweeps) on tag
-    documents; one-hot topic columns."""
+    documents; one-hot topic columns and the label of each topic's three most
+    frequent tags."""
     t = _tag_docs(spark, sf)
     long = TG.explode_tags(t)
     vocab = TG.top_n(TG.tag_counts(long), 500)
-    b = TX.binary_doc_term(long, vocab)
-    z = TP.gsdmm(b, vocab.count(), K=10, n_iter=30)
-    return z.select("property_id", "cluster",
-                    *[(F.col("cluster") == i).cast("tinyint").alias(f"topic_{i + 1}") for i in range(10)])
+    b = _shared(TX.binary_doc_term(long, vocab))
+    names = b.select("term_index", F.col("tag").alias("term")).distinct()
+    z = TP.gsdmm(b, vocab.count(), K=10, n_iter=30, terms=names)
+    return z.select("property_id", "cluster", "label", *[(F.col("cluster") == i).cast("tinyint").alias(f"topic_{i + 1}") for i in range(10)])
 
 
 @query("q_embedding_topics")
 def q_embedding_topics(spark, sf):
-    """Topics from the given embeddings: PCA(5) + Gaussian mixture (k=10)."""
-    e = spark.read.parquet(f"{sf.rstrip('/')}/embeddings.parquet")
-    return TP.embedding_topics(e, "embedding", "vec_id", k=10)
+    """Topics from the given embeddings: PCA(5) + Gaussian mixture (k=20),
+    merged to 10 by the class TF-IDF of the words of the documents with the
+    same ids; documents below probability 0.5 go to the most likely topic."""
+    root = sf.rstrip("/")
+    soft = TP.embedding_topics(spark.read.parquet(f"{root}/embeddings.parquet"), "embedding", "vec_id", k=20)
+    words = spark.read.parquet(f"{root}/documents.parquet").select(F.col("doc_id").alias("vec_id"), F.explode(F.split(F.lower("text"), r"\W+")).alias("term"))
+    words = words.where(F.length("term") > 2)
+    common = words.groupBy("term").count().orderBy(F.desc("count"), "term").limit(500).select("term")
+    return TP.merged_topics(soft, words.join(common, "term", "left_semi"), 20, 10, least=0.5)
 
 
 @query("q_topic_premium")
@@ -323,22 +378,20 @@ def q_ab_experiment(spark, sf):
 @query("q_topic_experiment")
 def q_topic_experiment(spark, sf):
     """LDA vs NMF vs embedding topics (SVD of the tag TF-IDF + mixture) with
-    the same features and pooled median boosting; per-method comparison."""
-    from pyspark.ml.feature import PCA
+    the same features and pooled median boosting, every method fitted on the
+    train split alone; per-method comparison."""
     base = _shared(pooled_frame(spark, sf))
     k = 8
     docs = _tag_docs(spark, sf)
     lda, _ = TP.lda_topics(docs, k, 500, "tags", fit_on=docs.filter(FE.hash_split(F.col("property_id"), 0.7)), word_prior=0.01)
-    long, v = _tag_tfidf(spark, sf)
-    nmf = TP.nmf_topics(long, k, v, n_iter=20)
-    vec = (long.groupBy("property_id").agg(F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("_e"))
-               .select("property_id", F.transform("_e", lambda x: x["weight"]).alias("_w"),
-                       F.transform("_e", lambda x: x["term_index"]).alias("_i")))
-    from pyspark.ml.functions import array_to_vector
-    sparse = vec.select("property_id", F.map_from_arrays("_i", "_w").alias("_m"))
+    b, v = _tag_counts_long(spark, sf)
+    long = _shared(_train_tfidf(b))
+    is_train = FE.hash_split(F.col("property_id"), 0.7)
+    nmf = TP.nmf_topics(long, k, v, fit_on=long.filter(is_train), alpha_w=0.0, alpha_h=0.0)
+    sparse = long.groupBy("property_id").agg(F.map_from_entries(F.collect_list(F.struct("term_index", "weight"))).alias("_m"))
     dense = sparse.select("property_id", F.transform(F.sequence(F.lit(0), F.lit(v - 1)),
                                                      lambda j: F.coalesce(F.col("_m")[j], F.lit(0.0))).alias("emb"))
-    emb = TP.embedding_topics(dense, "emb", "property_id", k=k, pca_k=5).drop("topic", "probability")
+    emb = TP.embedding_topics(dense, "emb", "property_id", k=k, pca_k=5, fit_on=dense.filter(is_train)).drop("topic", "probability")
     tcols = [f"topic_{i}" for i in range(1, k + 1)]
     preds = []
     for name, t in (("LDA", lda), ("NMF", nmf), ("BERTOPIC", emb)):

@@ -228,6 +228,24 @@ def q_topic_sparsify(spark, sf):
     return sparsify_topics(topic_terms(spark, sf), 20)
 
 
+_FOLD = ", ".join(f"SUM(n * p{i} / all_p) / SUM(n) AS topic_{i}" for i in range(1, 9))
+
+
+@query("q_topic_foldin", rounded(with_fx(f"""
+SELECT property_id, {_FOLD} FROM (SELECT *, {" + ".join(f"p{i}" for i in range(1, 9))} AS all_p FROM
+  (SELECT l.property_id, l.n, {", ".join(f"SUM(CASE WHEN s.topic = {i} THEN s.weight ELSE 0 END) AS p{i}" for i in range(1, 9))}
+   FROM (SELECT property_id, tag, COUNT(*) AS n FROM fx_tag_long GROUP BY 1, 2) l JOIN sparse s ON s.term = l.tag GROUP BY l.property_id, l.tag, l.n) x) y
+WHERE all_p > 0 GROUP BY property_id""", ["fx_tag_long", "fx_topic_terms"], [
+    ("sparse", """SELECT topic, term, weight / SUM(weight) OVER (PARTITION BY topic) AS weight FROM (SELECT *, ROW_NUMBER() OVER
+                  (PARTITION BY topic ORDER BY weight DESC, term) AS r FROM fx_topic_terms) WHERE r <= 20""")]), [f"topic_{i}" for i in range(1, 9)]))
+def q_topic_foldin(spark, sf):
+    """One-step responsibilities of tag documents under sparsified topics."""
+    from propval.operators.tags import explode_tags
+    from propval.operators.topics import fold_in, sparsify_topics
+    counts = explode_tags(fx.tagged(spark, sf)).groupBy("property_id", F.col("tag").alias("term")).agg(F.count("*").alias("n"))
+    return fold_in(counts, sparsify_topics(topic_terms(spark, sf), 20), 8)
+
+
 _EPS = "1e-12"
 
 

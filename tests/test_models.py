@@ -60,20 +60,6 @@ def test_fuzzy_canonical_matches_brute_force(spark, sf):
     assert got == expect
 
 
-def test_quantile_boost_ordering_and_coverage(spark, sf):
-    d = q_models.pooled_frame(spark, sf)
-    train, test = MD.prepare_features(d, d, q_models.POOLED_FEATURES)
-    m = MD.quantile_boost(train, q_models.POOLED_FEATURES, "sale_price", n_rounds=5)
-    p = m.predict(train.select("property_id", "sale_price", *q_models.POOLED_FEATURES)) \
-         .withColumns(MD.fix_crossing("pred_q10", "pred_q50", "pred_q90"))
-    r = p.agg(F.avg(((F.col("sale_price") >= F.col("pred_q10")) & (F.col("sale_price") <= F.col("pred_q90")))
-                    .cast("double")).alias("cov"),
-              F.min((F.col("pred_q10") <= F.col("pred_q50")) & (F.col("pred_q50") <= F.col("pred_q90"))).alias("ok")
-              ).first()
-    assert r.ok
-    assert 0.4 < r.cov <= 1.0
-
-
 def test_isolation_forest_cuts_about_five_percent(spark, sf):
     e = q_extract.extract(spark, sf)
     s = isolation_forest(e, ["living_sqft", "lot_sqft", "sale_price", "year_built"], "property_id", n_trees=20)

@@ -16,9 +16,10 @@ less than ``SETTLED`` of it.  They start from all training documents dealt to
 the states by a random projection of their words, so documents with like words
 begin in one state, however many there are.
 
-Scoring is exact for whole texts: the forward recursion of ``STEP`` tokens is
-a matrix, all pieces of all texts advance together in numpy, and the product
-of a text's matrices is its scaled forward recursion.
+Scoring is exact for whole texts: the scaled forward recursions of all texts
+of a batch advance together in numpy, token by token.  A long text advances in
+pieces of ``STEP`` tokens at once: each piece's recursion is a matrix, and the
+product of the text's matrices is its scaled forward recursion.
 
 The counts of rare words stay distributed: tokens outside the bounded table
 meet their counts in a join.
@@ -49,6 +50,7 @@ STATES = 8
 SETTLED = 1e-4
 SEGMENT = 128
 STEP = 64
+LONG = 2048              # tokens of a text that is scored in pieces
 PRIOR = 3.0              # tokens, spread over the states, that each class begins with
 FLUSH_WORDS = 1 << 20
 
@@ -211,12 +213,14 @@ def _pieces(offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.
 
 def expected(model: Model, tokens: np.ndarray, offsets: np.ndarray, emit: np.ndarray, move: np.ndarray, start: np.ndarray) -> float:
     """Adds the expected counts of the texts to emit, move and start; returns
-    the log-likelihood of the segments."""
+    the log-likelihood of the segments.  Each segment's recursion is scaled at
+    every token and runs in single precision, its sums in double."""
+    stationary, model = model.stationary.astype(np.float32), Model(*(x.astype(np.float32, copy=False) for x in (model.start, model.move, model.emit)))
     owner, at, length = _pieces(offsets, SEGMENT)
     first = np.zeros(len(owner), bool)
     first[np.unique(owner, return_index=True)[1]] = True
     order, log = np.argsort(-length, kind="stable"), 0.0
-    stationary, k = model.stationary, len(model.start)
+    k = len(model.start)
     for i in range(0, len(order), 2048):
         piece = order[i:i + 2048]
         n, begin, is_first = length[piece], at[piece], first[piece]
@@ -232,12 +236,12 @@ def expected(model: Model, tokens: np.ndarray, offsets: np.ndarray, emit: np.nda
             x = x / s
             alpha.append(x)
             scale.append(s)
-        beta = np.ones((live[-1], k))
+        beta = np.ones((live[-1], k), np.float32)
         gammas = [None] * steps
         for t in range(steps - 1, -1, -1):
             m = live[t]
             if len(beta) < m:
-                beta = np.concatenate([beta, np.ones((m - len(beta), k))])
+                beta = np.concatenate([beta, np.ones((m - len(beta), k), np.float32)])
             gammas[t] = alpha[t] * beta
             if t:
                 back = b[t] * beta / scale[t]
@@ -247,7 +251,7 @@ def expected(model: Model, tokens: np.ndarray, offsets: np.ndarray, emit: np.nda
         gamma, c = np.concatenate(gammas), np.concatenate(cls)
         for state in range(k):
             emit[:, state] += np.bincount(c, gamma[:, state], len(emit))
-        log += sum(float(np.log(s).sum()) for s in scale)
+        log += sum(float(np.log(s).sum(dtype=float)) for s in scale)
     return log
 
 
@@ -323,6 +327,8 @@ def train(encoded: DataFrame, v: Vocabulary) -> Model:
     model, last = first_states(encoded, v), -np.inf
     while True:
         model, log = baum_welch(encoded, v, model)
+        if not np.isfinite(log):
+            raise FloatingPointError(f"the log-likelihood of the training documents is {log}")
         if log - last <= SETTLED * abs(log):
             return model
         last = log
@@ -330,7 +336,35 @@ def train(encoded: DataFrame, v: Vocabulary) -> Model:
 
 def log10_likelihood(model: Model, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """log10 of the probability of each text's classes: exact scaled forward
-    recursion, the pieces of all texts as matrices at once."""
+    recursion, token by token for all texts at once; a text of more than
+    ``LONG`` tokens as the product of its pieces' matrices."""
+    n = np.diff(offsets)
+    out, short = np.zeros(len(n)), np.flatnonzero(n <= LONG)
+    out[short] = _forward(model, tokens, offsets[:-1][short], n[short])
+    for i in np.flatnonzero(n > LONG):
+        out[i] = _by_pieces(model, tokens[offsets[i]:offsets[i + 1]], np.array([0, n[i]]))[0]
+    return out
+
+
+def _forward(model: Model, tokens: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    out, order = np.zeros(len(n)), np.argsort(-n, kind="stable")
+    for i in range(0, len(order), 4096):
+        some = order[i:i + 4096]
+        at, lengths = begin[some], n[some]
+        x, log = model.start * model.emit[tokens[at]], np.zeros(len(some))
+        for t in range(1, int(lengths.max())):
+            m = int(np.searchsorted(-lengths, -t, "left"))            # texts longer than t come first
+            x[:m] = (x[:m] @ model.move) * model.emit[tokens[at[:m] + t]]
+            if t % 8 == 0:
+                s = x[:m].sum(axis=1)
+                x[:m] /= s[:, None]
+                log[:m] += np.log10(s)
+        out[some] = log + np.log10(x.sum(axis=1))
+    return out
+
+
+def _by_pieces(model: Model, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The pieces of all texts as matrices, advanced together."""
     owner, at, length = _pieces(offsets, STEP)
     k = len(model.start)
     matrix, log = np.tile(np.eye(k), (len(owner), 1, 1)), np.zeros(len(owner))

@@ -58,10 +58,11 @@ def test_no_training_rows_and_empty_table(spark):
 
 
 def brute_forward(m, seq):
-    a = m.start * m.emit[seq[0]]
+    a, log = m.start * m.emit[seq[0]], 0.0
     for c in seq[1:]:
         a = (a @ m.move) * m.emit[c]
-    return math.log10(a.sum())
+        log, a = log + math.log10(a.sum()), a / a.sum()
+    return log + math.log10(a.sum())
 
 
 def random_model(rng, classes, states=hmm.STATES):
@@ -72,10 +73,10 @@ def random_model(rng, classes, states=hmm.STATES):
 def test_forward_recursion_is_exact():
     rng = np.random.default_rng(1)
     m = random_model(rng, 5)
-    lengths = [1, 2, 63, 64, 65, 128, 200, 1]
+    lengths = [1, 2, 63, 64, 65, 128, 200, 1, hmm.LONG, hmm.LONG + 1, 5000, 4]
     seqs = [rng.integers(0, 5, n) for n in lengths]
     got = hmm.log10_likelihood(m, np.concatenate(seqs).astype(np.uint16), np.concatenate([[0], np.cumsum(lengths)]))
-    assert np.allclose(got, [brute_forward(m, s) for s in seqs])
+    assert np.allclose(got, [brute_forward(m, s) for s in seqs], rtol=1e-12)
 
 
 def test_expected_counts_match_enumeration():
@@ -95,7 +96,7 @@ def test_expected_counts_match_enumeration():
             e[seq[i], path[i]] += p
         for i in range(1, 4):
             t[path[i - 1], path[i]] += p
-    assert np.allclose(emit, e / total) and np.allclose(move, t / total) and np.allclose(start, s / total)
+    assert np.allclose(emit, e / total, atol=1e-6) and np.allclose(move, t / total, atol=1e-6) and np.allclose(start, s / total, atol=1e-6)
 
 
 def test_probabilities_sum_to_one(spark):
@@ -124,3 +125,27 @@ def test_every_training_document_shapes_the_states(spark, monkeypatch):
     assert all(b > a for a, b in zip(logs[:-2], logs[1:])) and logs[-1] - logs[-2] <= hmm.SETTLED * abs(logs[-1])
     emit = hmm.first_states(encoded, v).emit
     assert (emit.std(axis=1) > 1e-3 * emit.mean(axis=1)).any()        # the states differ from the start
+
+
+def test_score_is_the_forward_probability_of_the_words(spark, monkeypatch):
+    """score of whole texts against a recursion over words: a class' emission,
+    times the word's smoothed share of its class."""
+    monkeypatch.setattr(hmm, "TOP_WORDS", 12)
+    rows = [(i, " ".join(f"w{(i * k + k * k) % 41}" for k in range(1, 5 + i % 70))) for i in range(120)] + [(500, "new words"), (501, ""), (502, None), (503, "w1 " * 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept, own = [], hmm.train
+    monkeypatch.setattr(hmm, "train", lambda encoded, v: kept.append((own(encoded, v), v)) or kept[0][0])
+    got = {r.doc_id: r.score for r in hmm.score(df, langid.held_out("doc_id", 5)).collect()}
+    model, v = kept[0]
+    c = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1 for w in WORD.findall(t or ""))
+
+    def of(word):
+        part = hmm.pa.array([word])
+        cls, top = hmm._classes(hmm._tokens(part)[0], v)
+        if top[0]:
+            return int(cls[0]), 0.0
+        b = int(cls[0]) - len(v.words)
+        return int(cls[0]), math.log10(c[word] + 0.5) - math.log10(v.bucket_tokens[b] + 0.5 * (v.bucket_words[b] + 1))
+    for i, t in rows:
+        seq = [of(w) for w in WORD.findall(t or "")] + [(v.end, 0.0)]
+        assert math.isclose(got[i], brute_forward(model, [x for x, _ in seq]) + sum(x for _, x in seq), rel_tol=1e-9)

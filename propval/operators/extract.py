@@ -315,6 +315,15 @@ def id_bridge(address: DataFrame) -> DataFrame:
                    .orderBy("assessor_id", "mls_id"))
 
 
+def listings_by_property(bridge: DataFrame, listings: DataFrame, price: str = "price", date: str = "a_date") -> DataFrame:
+    """Listings over the bridge, by assessor id: number of listings, of those
+    with a price, their extremes and the last date.  ``bridge`` is bucketed by
+    the listing id, so it is joined where it lies."""
+    j = bridge.join(listings.withColumn("mls_id", F.col("cc_list_id").cast("string")), "mls_id")
+    return j.groupBy("assessor_id").agg(F.count(F.lit(1)).alias("n_listings"), F.count(price).alias("n_priced"), F.min(price).alias("min_price"),
+                                        F.max(price).alias("max_price"), F.max(date).alias("last_date"))
+
+
 def county_join(df: DataFrame, votes: DataFrame, fips_col: str = "fips", pad: bool = True) -> DataFrame:
     """Left join to county votes; ``pad=False`` reproduces the lossy key."""
     if pad:

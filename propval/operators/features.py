@@ -9,7 +9,9 @@ label sets) are one-row or per-group aggregates of bounded size.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -227,19 +229,29 @@ def label_encoding(df: DataFrame, cols: list[str], max_levels: int = 100,
     """Fitted label sets: NULL read as ``unknown``, which is always reserved;
     columns with ``max_levels`` or more distinct values are dropped.
 
-    The gate is one ``count_distinct`` pass; the label sets that pass it are
-    bounded by ``max_levels`` and collected (as Spark's ``StringIndexer``
-    does)."""
+    One pass over the rows: a task keeps the levels of all columns and adds
+    none to a column that has ``max_levels`` (it is dropped in any case), so
+    a task sends at most ``max_levels`` rows a column, however many values an
+    id-like column has.  The bounded sets are collected (as Spark's
+    ``StringIndexer`` does)."""
     if not cols:
         return {}
-    filled = {c: F.coalesce(F.col(c).cast("string"), F.lit(unknown)) for c in cols}
-    counts = df.agg(*[F.count_distinct(e).alias(c) for c, e in filled.items()]).first()
-    keep = [c for c in cols if counts[c] < max_levels]
-    labels = {}
-    for c in keep:
-        vals = [r[0] for r in df.select(filled[c].alias("v")).distinct().collect()]
-        labels[c] = sorted(set(vals) | {unknown})
-    return labels
+
+    def levels(batches):
+        seen: list[set] = [set() for _ in cols]
+        for batch in batches:
+            for have, column in zip(seen, batch.columns, strict=True):
+                if len(have) < max_levels:
+                    have.update(islice(set(column.unique().to_pylist()) - have, max_levels - len(have)))
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, have in enumerate(seen) for _ in have], pa.int32()),
+                                          pa.array([v for have in seen for v in have], pa.string())], names=["c", "v"])
+    filled = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(unknown)).alias(f"c{i}") for i, c in enumerate(cols)])
+    first = F.row_number().over(Window.partitionBy("c").orderBy("v")) <= max_levels
+    rows = filled.mapInArrow(levels, "c int, v string").distinct().withColumn("first", first).where("first").collect()      # bounded
+    found: dict[str, set] = {c: set() for c in cols}
+    for r in rows:
+        found[cols[r["c"]]].add(r["v"])
+    return {c: sorted(v | {unknown}) for c, v in found.items() if len(v) < max_levels}
 
 
 def apply_label_encoding(df: DataFrame, labels: dict[str, list[str]], all_cols: list[str],

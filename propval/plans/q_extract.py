@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -10,6 +12,7 @@ from propval.operators import extract as X
 from propval.plans.oracle_fixtures import BASE_DOUBLES, CENSUS_DOUBLES, with_fx
 from propval.plans.registry import query, rounded
 from propval.sources import fixtures as fx
+from propval.sources.io import write_bucketed
 
 
 def census(spark, sf):
@@ -360,3 +363,20 @@ ORDER BY assessor_id, mls_id""", ["fx_address"]))
 def q_id_bridge(spark, sf):
     """Every (mls_id, assessor_id) of one address: two explodes + distinct."""
     return X.id_bridge(fx.address(spark, sf))
+
+
+def stored_bridge(spark, sf):
+    """The bridge as a table of its own, bucketed by listing id."""
+    return write_bucketed(X.id_bridge(fx.address(spark, sf)), "propval_id_bridge_" + uuid.uuid4().hex[:12], ["mls_id"])
+
+
+@query("q_bridge_listings", rounded(with_fx("""
+SELECT b.assessor_id, COUNT(*) AS n_listings, COUNT(l.price) AS n_priced, MIN(l.price) AS min_price, MAX(l.price) AS max_price,
+  MAX(l.a_date) AS last_date
+FROM (SELECT DISTINCT m.mls_id, a.assessor_id
+      FROM fx_address f, UNNEST(f.mls_ids) AS m(mls_id), UNNEST(f.assessor_ids) AS a(assessor_id)) b
+JOIN fx_listings l ON b.mls_id = CAST(l.cc_list_id AS VARCHAR)
+GROUP BY b.assessor_id""", ["fx_address", "fx_listings"]), ["min_price", "max_price"]))
+def q_bridge_listings(spark, sf):
+    """Listings of each property through the stored bridge table."""
+    return X.listings_by_property(stored_bridge(spark, sf), fx.listings(spark, sf).select("cc_list_id", "price", "a_date"))

@@ -24,6 +24,7 @@ from propval.plans.oracle_fixtures import IMPORTANCE_FEATURES, METHODS, N_TOPICS
 from propval.plans.q_extract import extract
 from propval.plans.registry import query, rounded, round_half_up
 from propval.sources import fixtures as fx
+from propval.sources.io import stored
 
 
 def _pred(prime: int):
@@ -31,22 +32,23 @@ def _pred(prime: int):
 
 
 def predictions(spark, sf):
+    """The prediction table, derived once: metrics and the ranks of quantiles
+    both read it, so it is written to a table of its own."""
     e = extract(spark, sf)
     p = _pred(7919)
-    return e.select("property_id", "state", F.col("sale_price").alias("actual"), p.alias("predicted"),
+    rows = e.select("property_id", "state", F.col("sale_price").alias("actual"), p.alias("predicted"),
                     (p * 0.85).alias("pred_lower"), (p * 1.15).alias("pred_upper"),
                     tiers.price_tier(F.col("sale_price")).alias("price_tier"),
                     "living_sqft", "bedrooms", clip(F.lit(2026) - F.col("year_built"), 0, 200).alias("property_age"),
                     "lot_sqft", (F.col("full_baths") + 0.5 * F.coalesce(F.col("half_baths"), F.lit(0))).alias("total_baths"))
+    return stored(rows, "predictions")
 
 
 def method_predictions(spark, sf):
-    e = extract(spark, sf).select("property_id", "sale_price")
-    frames = [e.select("property_id", F.lit(m).alias("method"), F.col("sale_price").alias("actual"),
-                       _pred(p).alias("predicted"),
-                       tiers.price_tier(F.col("sale_price"), tiers.PRICE_TIERS_POOLED).alias("price_tier"))
-              for m, p in METHODS]
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("method"), _pred(p).alias("predicted")) for m, p in METHODS]))
+    rows = extract(spark, sf).select("property_id", "sale_price", each.alias("x"))
+    return stored(rows.select("property_id", "x.method", F.col("sale_price").alias("actual"), "x.predicted",
+                              tiers.price_tier(F.col("sale_price"), tiers.PRICE_TIERS_POOLED).alias("price_tier")), "methods")
 
 
 def importance_table(spark, sf):
@@ -75,8 +77,8 @@ def topic_table(spark, sf):
 def topic_terms(spark, sf):
     c = tag_counts(explode_tags(fx.tagged(spark, sf)))
     c = c.withColumn("rk", F.row_number().over(Window.orderBy(F.col("n_docs").desc(), "tag")))  # vocabulary-sized
-    t = spark.range(1, N_TOPICS + 1).select(F.col("id").cast("int").alias("topic"))
-    return (c.join(F.broadcast(t), how="inner").select(
+    topics = F.explode(F.array(*[F.lit(j) for j in range(1, N_TOPICS + 1)]))
+    return (c.withColumn("topic", topics).select(
         "topic", F.col("tag").alias("term"),
         (F.col("n_docs") * ((F.col("topic") * 13 + F.col("rk") * 7) % 23 + 1)).cast("double").alias("weight")))
 

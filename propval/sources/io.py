@@ -39,7 +39,22 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_table(df: DataFrame, path: str, order_by: list[str] | None = None) -> str:
-    """CTAS stand-in: persist as Parquet (an ORDER BY is not kept by a table;
-    readers sort on read)."""
-    return write_parquet(df, path)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once to the shared folder, for several passes over it."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_parquet(df, output_dir(df.sparkSession, name)))
+
+
+def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int | None = None, path: str | None = None) -> DataFrame:
+    """CTAS: df as a table of the session's catalog, bucketed and sorted by
+    ``keys`` (its files under ``path``, or the shared folder), and its reader.
+
+    A join or grouping on the keys reads the table's buckets as partitions,
+    so its side needs no exchange; the other side is shuffled to as many
+    partitions.  Rows are dealt to their bucket before the write, so a bucket
+    is one file, which is what a sorted read needs.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, *keys).write.mode("overwrite").format("parquet").option("path", path or output_dir(spark, name))
+     .bucketBy(n, *keys).sortBy(*keys).saveAsTable(name))
+    return spark.table(name)

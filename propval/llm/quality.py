@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 
 from propval.llm import textbytes as tb
 
-#: Largest share of characters inside repeated n-grams, by n.
-NGRAM_SHARE = {4: 0.34, 5: 0.32, 7: 0.30, 10: 0.28}
+#: Largest share of characters inside repeated n-grams, by n.  The base rule
+#: counts both copies and rejects past a half, so what passes it has a later
+#: copy's share of a quarter at most: limits must lie below that to decide.
+NGRAM_SHARE = {4: 0.20, 5: 0.18, 7: 0.16, 10: 0.15}
 #: Largest share of lines, and of their characters, that repeat a line.
 LINE_SHARE, LINE_CHAR_SHARE = 0.50, 0.30
 #: Largest number of symbols to a word.

@@ -57,6 +57,16 @@ def test_edge_rows(spark, rng):
     assert 4 in kept and None in kept and not kept & {1, 2, 3, 6, 7, 8, 9}
 
 
+def test_a_passage_repeated_within_a_text(spark):
+    own = " ".join(f"own{i}" for i in range(120))
+    passage = lambda n: " ".join(f"pas{i}" for i in range(n))
+    rows = [(1, own), (2, f"{own} {passage(40)} and {passage(40)}"), (3, f"{own} {passage(30)} and {passage(30)} or {passage(30)}"), (4, f"{own} {passage(12)} and {passage(12)}")]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    check(rows, list(got.values()))
+    assert not any(r.base_failed for r in got.values())
+    assert [got[i].kept for i in (1, 2, 3, 4)] == [True, False, False, True]
+
+
 def test_empty_table_and_kept_rows(spark):
     clean = " ".join(f"word{i}" for i in range(80))
     df = spark.createDataFrame([(1, clean, 3), (1, clean, 3), (2, "short", 4)], "doc_id long, text string, kept int")

@@ -9,6 +9,11 @@ white space collapses except in ``pre``, blocks start on their own line,
 paragraphs and headings are set off by an empty line, list items carry a mark
 or a number and their depth, and the cells of a table are set in columns
 (colspan and rowspan included; columns wider than ``WIDEST`` aren't padded).
+A table whose grid has more than ``GRID`` places to a line of text in its
+cells, and ``GRID_FREE`` besides, or more than ``MOST_SPANS`` spans above a
+row, isn't set in columns: its cells follow each other (those of a row with
+a cell of several lines each on lines of their own).  So the output grows
+with the text whatever the spans say, and no text is left out.
 
 Style sheets are not applied, only style attributes.  Defined results: null
 and empty pages render to an empty text; unclosed tags, quotes and comments
@@ -30,6 +35,8 @@ from propval.llm import textbytes as tb
 
 WIDEST = 60              # characters to which cells are padded
 DEEPEST = 32             # lists whose depth shows
+GRID, GRID_FREE = 16, 200    # places of a table's grid to a line of text in its cells, and places besides
+MOST_SPANS = 1000        # cells that reach into one row from above
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
 HIDDEN = frozenset("head script style title noscript template iframe noembed noframes datalist audio video canvas object".split())
@@ -215,40 +222,50 @@ class _Page:
 
 
 class _Table:
+    """Cells by column.  Spans are intervals of columns, and a row's next free
+    column only grows, so a cell costs no scan of its row."""
+
     def __init__(self):
-        self.rows, self.spans, self.cells = [], {}, 0
+        self.rows, self.reach, self.spans, self.fresh, self.loose, self.free, self.at = [], [], [], [], False, 0, 0
 
     def row(self) -> None:
         self.rows.append({})
-        self.spans = {c: n - 1 for c, n in self.spans.items() if n > 1}
+        self.reach.append(0)
+        left = [(a, b, n - 1) for a, b, n in self.spans + self.fresh if n > 1]
+        self.spans, self.fresh, self.free, self.at = sorted(left) if self.fresh else left, [], 0, 0
+        if len(self.spans) > MOST_SPANS:
+            self.loose, self.spans = True, []
 
     def cell(self, lines: list[str], colspan: int, rowspan: int) -> None:
         if not self.rows:
             self.row()
-        c = 0
-        row = self.rows[-1]
-        while c in row or c in self.spans and c not in row:
-            c += 1
-        self.cells += 1
-        row[c] = lines
-        for k in range(1, colspan):
-            row.setdefault(c + k, [])
-        if rowspan > 1:
-            for k in range(colspan):
-                self.spans[c + k] = rowspan
+        c = self.free
+        while self.at < len(self.spans) and self.spans[self.at][0] <= c:
+            c = max(c, self.spans[self.at][1])
+            self.at += 1
+        self.rows[-1][c] = lines
+        self.free = self.reach[-1] = c + colspan
+        if rowspan > 1 and not self.loose:
+            self.fresh.append((c, c + colspan, rowspan))
 
     def lines(self) -> list[str]:
+        heights = [max(1, *map(len, row.values())) if row else 0 for row in self.rows]
+        held = sum(max(1, len(x)) for row in self.rows for x in row.values())
+        if self.loose or sum(w * h for w, h in zip(self.reach, heights, strict=True)) > GRID * held + GRID_FREE:
+            out = []
+            for row, height in zip(self.rows, heights, strict=True):
+                cells = row.values()
+                out += [" | ".join(x[0] if x else "" for x in cells).rstrip(" ")] * (height > 0) if height < 2 else [s for x in cells for s in x]
+            return out
         width: dict[int, int] = {}
         for row in self.rows:
             for c, lines in row.items():
                 w = max(map(len, lines), default=0)
                 width[c] = max(width.get(c, 0), min(w, WIDEST))
         out = []
-        for row in self.rows:
-            if not row:
-                continue
-            for k in range(max(1, *map(len, row.values()))):
-                cells = [(row.get(c) or [])[k:k + 1] or [""] for c in range(max(row) + 1)]
+        for row, reach, height in zip(self.rows, self.reach, heights, strict=True):
+            for k in range(height):
+                cells = [(row.get(c) or [])[k:k + 1] or [""] for c in range(reach)]
                 out.append(" | ".join(x[0].ljust(width.get(c, 0)) for c, x in enumerate(cells)).rstrip(" "))
         return out
 

@@ -1,6 +1,7 @@
 import html
 import html.parser
 import re
+import time
 
 import pytest
 
@@ -73,3 +74,23 @@ def test_null_rows_empty_table_clashing_columns(spark):
     df = spark.createDataFrame([(1, None, 5), (1, "<p>x", 6), (None, "", 7)], "page_id long, html string, n_chars int")
     assert sorted((str(r.page_id), r.rendered, r.n_chars) for r in render.render_pages(df).collect()) == [("1", "", 0), ("1", "x", 1), ("None", "", 0)]
     assert render.render_pages(df.limit(0)).count() == 0
+
+
+def test_large_tables_and_spans_stay_linear():
+    began = time.process_time()
+    text, _, cells = render.render("<table><tr>" + "".join(f"<td>c{i}" for i in range(20_000)) + "</table>")
+    assert cells == 20_000 and text.split(" | ") == [f"c{i}" for i in range(20_000)]
+    many = "<table>" + "".join(f"<tr><td rowspan=60000>r{i}" for i in range(2_000)) + "</table>end"
+    text, _, cells = render.render(many)
+    assert cells == 2_000 and text.split() == [f"r{i}" for i in range(2_000)] + ["end"] and len(text) < len(many)
+    wide = "<table><tr>" + "".join(f"<td colspan=1000>w{i}" for i in range(200)) + "</table>"
+    assert render.render(wide)[0].split(" | ") == [f"w{i}" for i in range(200)]
+    tall = "<table><tr>" + "<td>x" * 500 + "<td>" + "<br>".join(f"l{i}" for i in range(5_000)) + "</table>"
+    assert len(render.render(tall)[0]) < len(tall) and render.render(tall)[0].split() == ["x"] * 500 + [f"l{i}" for i in range(5_000)]
+    assert time.process_time() - began < 5
+
+
+def test_spans_that_overlap_and_end():
+    page = "<table><tr><td>a<td rowspan=2>b<td>c<tr><td>d<td>e<tr><td>f<td>g<td>h</table>"
+    assert render.render(page)[0] == "a | b | c\nd |   | e\nf | g | h"
+    assert render.render("<table><tr><td rowspan=3 colspan=2>a<td>b<tr><td>c<tr><td>d<tr><td>e<td>f<td>g</table>")[0] == "a |   | b\n  |   | c\n  |   | d\ne | f | g"

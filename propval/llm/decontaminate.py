@@ -10,10 +10,13 @@ value always stands for the same value in the document.
 
 A document contains an item if a run covers ``MIN_COVERED`` of its words, or
 all of a shorter item, and at least ``MIN_AGREEING`` of its slots agree.
-Windows need ``MIN_LITERAL`` of their words to be no placeholders to match
-by their template.  Windows with placeholders also match by their words as
-they stand (lower-cased), however many are placeholders, so a verbatim copy
-always joins.  The opening word of an item matches as a literal and as a name,
+Windows match by their template if ``LITERALS`` of their words are no
+placeholders.  Windows with placeholders also match by their words as they
+stand (lower-cased), however many are placeholders, so a verbatim copy always
+joins.  A window is dense if fewer than ``MIN_LITERAL`` of its words are
+literal and a slot changed; dense windows alone prove little, so a run that
+needs them must cover ``DENSE_COVERED`` of its item, with ``DENSE_LITERALS``
+literal words.  Ids are integers.  The opening word of an item matches as a literal and as a name,
 since a copy may stand inside a sentence.  Items of fewer than ``SHORTEST`` words are too short to be told
 from common prose and match nothing.
 
@@ -42,6 +45,9 @@ WINDOW = 8
 SHORTEST = 5
 MIN_COVERED = 13
 MIN_LITERAL = 0.6
+LITERALS = 3
+DENSE_COVERED = 0.8
+DENSE_LITERALS = 5
 MIN_AGREEING = 0.8
 FILTER_BITS = 24
 #: Words that are units after a number.
@@ -115,7 +121,7 @@ def template_windows(texts: pa.Array, lengths: list[int]) -> tuple[np.ndarray, .
     for n in lengths:
         at, key = tb.windows(template, owner, n)
         n_slots = slots[at + n] - slots[at]
-        ok = n_slots <= (1 - MIN_LITERAL) * n
+        ok = n - n_slots >= LITERALS
         out.append((at[ok], np.full(ok.sum(), n), key[ok]))
         some = n_slots > 0                                   # without a placeholder the template is the words
         at, key = tb.windows(value, owner, n)
@@ -142,7 +148,7 @@ def _benchmark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n in range(SHORTEST, WINDOW + 1):                            # the first windows, should a name open them
             at, key = tb.windows(template, owner, n)
             slots = np.concatenate([[0], np.cumsum(slot)])
-            use = (nth[at] == 0) & (template[at] == NAME) & (slots[at + n] - slots[at] <= (1 - MIN_LITERAL) * n) & ((words[owner[at]] == n) | (n == WINDOW))
+            use = (nth[at] == 0) & (template[at] == NAME) & (n - slots[at + n] + slots[at] >= LITERALS) & ((words[owner[at]] == n) | (n == WINDOW))
             yield _rows(part, owner, nth, value, slot, at[use], np.full(use.sum(), n), key[use], words)
 
 
@@ -169,28 +175,41 @@ def _keyed(df: DataFrame, key: str, text: str) -> DataFrame:
 RUN = "doc_id long, text_hash long, item_id long, covered long, item_words long, n_slots long, n_changed long, agreeing double"
 
 
+def _run(windows: list[tuple[int, int, np.ndarray, np.ndarray]]) -> tuple[int, int, int, float, int]:
+    """Of a diagonal's windows: words that they cover in one piece, slots, slots
+    that changed, share that agrees, and literal words."""
+    best, seen, begin, total, pairs = 0, -1, 0, 0, {}
+    for place, size, item, doc in windows:
+        if place > seen:
+            begin = place
+        total += place + size - max(seen, place)
+        seen = place + size
+        best = max(best, seen - begin)
+        for k in np.flatnonzero(item | doc):                 # a slot on one side: matched by the word itself
+            a, b = int(item[k]), int(doc[k])
+            pairs[place + int(k)] = (a or b, b or a)
+    stands: dict[int, dict[int, int]] = {}
+    for a, b in pairs.values():
+        stands.setdefault(a, {}).setdefault(b, 0)
+        stands[a][b] += 1
+    agree = sum(max(v.values()) for v in stands.values())
+    return best, len(pairs), sum(a != b for a, b in pairs.values()), agree / len(pairs) if pairs else 1.0, total - len(pairs)
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A diagonal's windows: words that they cover in one piece, and the slots."""
+    """The run of a diagonal's windows, of all if those that aren't dense don't
+    suffice and it holds enough of the item."""
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            best, seen, pairs = 0, -1, {}
-            begin = None
-            for w in r["windows"]:
-                place, size = w["place"], w["size"]
-                if begin is None or place > seen:
-                    begin = place
-                seen = max(seen, place + size)
-                best = max(best, seen - begin)
-                for k, (a, b) in enumerate(zip(np.frombuffer(w["item_slots"], tb.U), np.frombuffer(w["doc_slots"], tb.U), strict=True)):
-                    if a or b:                               # a slot on one side: matched by the word itself
-                        pairs[place + k] = (int(a or b), int(b or a))
-            stands: dict[int, dict[int, int]] = {}
-            for a, b in pairs.values():
-                stands.setdefault(a, {}).setdefault(b, 0)
-                stands[a][b] += 1
-            agree = sum(max(v.values()) for v in stands.values())
-            rows.append((r["doc_id"], r["text_hash"], r["item_id"], best, r["words"], len(pairs), sum(a != b for a, b in pairs.values()), agree / max(1, len(pairs)) if pairs else 1.0))
+            windows = [(w["place"], w["size"], np.frombuffer(w["item_slots"], tb.U), np.frombuffer(w["doc_slots"], tb.U)) for w in r["windows"]]
+            firm = [w for w in windows if np.count_nonzero(w[2]) <= (1 - MIN_LITERAL) * w[1] or not np.any((w[2] != w[3]) & (w[2] > 0) & (w[3] > 0))]
+            run = _run(firm)
+            if len(firm) < len(windows) and not (run[0] >= min(MIN_COVERED, r["words"]) and run[3] >= MIN_AGREEING):
+                whole = _run(windows)
+                if whole[0] >= DENSE_COVERED * r["words"] and whole[4] >= DENSE_LITERALS:
+                    run = whole
+            rows.append((r["doc_id"], r["text_hash"], r["item_id"], run[0], r["words"], *run[1:4]))
         names = [c.split()[0] for c in RUN.split(", ")]
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], pa.float64() if k == 7 else pa.int64()) for k in range(8)], names=names)
 

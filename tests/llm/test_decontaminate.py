@@ -38,8 +38,20 @@ def test_verbatim_copies_of_dense_items(spark):
     docs = [(1, "Exercise one. " + numbers + " Then stop."), (2, numbers.lower()), (3, "Find the sum of 13, 16, 19, 22 and 31."),
             (4, "Before. " + edges + " and go on"), (5, "Find the sum of 12, 15, 18, 21 and 31.")]
     got = run(spark, docs, [(100, numbers), (101, edges)])
-    assert set(got) == {(1, 100), (2, 100), (4, 101)}
+    assert set(got) == {(1, 100), (2, 100), (3, 100), (5, 100), (4, 101)}
     assert got[1, 100].kind == "exact" and got[1, 100].covered == 10 and got[1, 100].n_changed == 0
+    assert got[3, 100].kind == "template" and got[3, 100].n_changed == 5 and got[5, 100].n_changed == 1
+
+
+def test_dense_word_problems_with_other_numbers(spark):
+    train = "A train travels 60 km in 2 hours and then 90 km in 3 hours, find the mean speed."
+    other = train.replace("60", "50").replace("in 2", "in 4").replace("90", "80").replace("in 3", "in 5")
+    docs = [(1, "Solve this. " + other + " Show your work."), (2, train), (3, "A train travels 50 km in 4 hours and then 80 km in 5 hours, so we went home by bus."),
+            (4, "They ran 50 km in 4 hours and then 80 km in 5 hours and found the mean street."), (5, "3 km 4 km 5 km 6 km 7 km 8 km 9 km 10 km 11 km 12 km")]
+    got = run(spark, docs, [(100, train), (101, "21 km 22 km 23 km 24 km 25 km 26 km 27 km 28 km 29 km 30 km")])
+    assert set(got) == {(1, 100), (2, 100)}
+    assert got[1, 100].kind == "template" and got[1, 100].covered == 19 and got[1, 100].n_changed == 4 and got[1, 100].agreeing == 1.0
+    assert got[2, 100].kind == "exact"
 
 
 def test_short_items_inside_sentences(spark):

@@ -20,8 +20,15 @@ literal words.  Ids are integers.  The opening word of an item matches as a lite
 since a copy may stand inside a sentence.  Items of fewer than ``SHORTEST`` words are too short to be told
 from common prose and match nothing.
 
-The benchmark's windows reach the documents as a Bloom filter of fixed size,
-whatever the benchmark's; what passes meets them in a join.
+The benchmark's windows reach the documents as a Bloom filter of 2^FILTER_BITS
+to 2^MOST_BITS bits by the number of windows; what passes is written once.  A
+window that many items and documents share, as a common opening, doesn't join
+all of their pairs: a run that counts covers ``MIN_COVERED`` words, so it holds
+two windows 5 to 12 places apart (the first, and the next one that ends 13
+words behind its start); an item of 9 to 12 words is covered by its first and
+last window, a shorter one is a window.  Documents and items join on both
+windows and their distance; the diagonals found this way fetch all their
+windows.
 
 Defined results: null and empty texts have no window; null ids are kept and
 reported; rows with equal id and text are one document; repeated items are
@@ -50,6 +57,9 @@ DENSE_COVERED = 0.8
 DENSE_LITERALS = 5
 MIN_AGREEING = 0.8
 FILTER_BITS = 24
+MOST_BITS = 28
+LEAST_GAP = MIN_COVERED - WINDOW
+MOST_GAP = LEAST_GAP + WINDOW - 1
 #: Words that are units after a number.
 UNITS = ("%", "percent", "mm", "cm", "m", "km", "meter", "meters", "metre", "metres", "kilometers", "inch", "inches", "feet", "foot", "ft",
          "yards", "mile", "miles", "mg", "g", "kg", "gram", "grams", "kilograms", "pound", "pounds", "lb", "lbs", "oz", "ounces", "ml", "l",
@@ -136,34 +146,63 @@ def _slots(at: np.ndarray, length: np.ndarray, value: np.ndarray, slot: np.ndarr
     return [shown[a:a + n].tobytes() for a, n in zip(at, length, strict=True)]
 
 
-WINDOWS = "key long, id long, text_hash long, place long, size long, words long, slots binary"
+WINDOWS = "key long, id long, text_hash long, place long, size long, words long, slots binary, next array<struct<gap:long,next_key:long>>"
+
+
+def _next(at: np.ndarray, size: np.ndarray, key: np.ndarray, owner: np.ndarray) -> pa.ListArray:
+    """Of every window: itself (gap 0) and the windows of the same text that
+    begin 1 to MOST_GAP places later, both of WINDOW words."""
+    whole = np.flatnonzero(size == WINDOW)
+    whole = whole[np.argsort(at[whole], kind="stable")]
+    places = at[whole]
+    of, gap, to = [np.arange(len(at))], [np.zeros(len(at), np.int64)], [np.arange(len(at))]
+    for g in range(1, MOST_GAP + 1):
+        then = np.minimum(at + g, max(len(owner) - 1, 0))
+        ok = (size == WINDOW) & (then == at + g) & (owner[then] == owner[at])
+        low, high = np.searchsorted(places, at + g, "left"), np.searchsorted(places, at + g, "right")
+        n = np.where(ok, high - low, 0)
+        i = np.repeat(np.arange(len(at)), n)
+        of.append(i)
+        gap.append(np.full(len(i), g))
+        to.append(whole[low[i] + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)])
+    of, gap, to = np.concatenate(of), np.concatenate(gap), np.concatenate(to)
+    order = np.argsort(of, kind="stable")
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(at)))])
+    pairs = pa.StructArray.from_arrays([pa.array(gap[order], pa.int64()), pa.array(key[to[order]].view(np.int64))], names=["gap", "next_key"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
 
 
 def _benchmark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in tb.slices(batches, "text"):
         owner, nth, value, slot, at, length, key, words = template_windows(part.column("text"), list(range(SHORTEST, WINDOW + 1)))
         use = (length == WINDOW) | (words[owner[at]] == length)          # a short item is one window
-        yield _rows(part, owner, nth, value, slot, at[use], length[use], key[use], words)
+        found = [(at[use], length[use], key[use], _slots(at[use], length[use], value, slot))]
         _, template, _, slot, _ = templates(part.column("text"), inside=True)
         for n in range(SHORTEST, WINDOW + 1):                            # the first windows, should a name open them
             at, key = tb.windows(template, owner, n)
             slots = np.concatenate([[0], np.cumsum(slot)])
             use = (nth[at] == 0) & (template[at] == NAME) & (n - slots[at + n] + slots[at] >= LITERALS) & ((words[owner[at]] == n) | (n == WINDOW))
-            yield _rows(part, owner, nth, value, slot, at[use], np.full(use.sum(), n), key[use], words)
+            size = np.full(use.sum(), n)
+            found.append((at[use], size, key[use], _slots(at[use], size, value, slot)))
+        at, size, key, shown = zip(*found, strict=True)
+        yield _rows(part, owner, nth, np.concatenate(at), np.concatenate(size), np.concatenate(key), sum(shown, []), words)
 
 
-def _rows(part, owner, nth, value, slot, at, length, key, words) -> pa.RecordBatch:
+def _rows(part, owner, nth, at, length, key, slots, words) -> pa.RecordBatch:
     own = pa.array(owner[at])
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column("id").take(own), part.column("text_hash").take(own), pa.array(nth[at]),
-                                       pa.array(length), pa.array(words[owner[at]]), pa.array(_slots(at, length, value, slot), pa.binary())],
-                                      names=[c.split()[0] for c in WINDOWS.split(", ")])
+                                       pa.array(length), pa.array(words[owner[at]]), pa.array(slots, pa.binary()), _next(at, length, key, owner)],
+                                      names=["key", "id", "text_hash", "place", "size", "words", "slots", "next"])
 
 
 def _bits(windows: DataFrame) -> np.ndarray:
-    """A Bloom filter of the keys: 2^FILTER_BITS bits, as bytes."""
-    bit = F.col("key").bitwiseAND((1 << FILTER_BITS) - 1)
+    """A Bloom filter of the keys, as words of 64 bits: at least 16 bits a
+    window, within its bounds."""
+    n = windows.count()
+    size = min(max(FILTER_BITS, int(16 * n).bit_length()), MOST_BITS)
+    bit = F.col("key").bitwiseAND((1 << size) - 1)
     words = (windows.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))")).alias("bits")).toPandas())
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out = np.zeros(1 << (size - 6), np.int64)
     out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
     return out.view(tb.U)
 
@@ -214,6 +253,29 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], pa.float64() if k == 7 else pa.int64()) for k in range(8)], names=names)
 
 
+def _seeds(found: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, text_hash, item_id, i_hash, diagonal: the diagonals on which a
+    document has two windows of an item that a counting run must have."""
+    words, gap = F.col("words"), F.col("gap")
+    far = F.when(words <= WINDOW, gap == 0).when(words < MIN_COVERED, (F.col("i_place") == 0) & (gap == words - WINDOW)).otherwise(gap >= LEAST_GAP)
+    own = (items.select("key", F.inline("next"), F.col("id").alias("item_id"), F.col("text_hash").alias("i_hash"), F.col("place").alias("i_place"), "words")
+           .where(far).drop("words"))
+    theirs = found.select("key", F.inline("next"), F.col("id").alias("doc_id"), "text_hash", "place")
+    return (theirs.join(own, ["key", "next_key", "gap"])
+            .select("doc_id", "text_hash", "item_id", "i_hash", (F.col("place") - F.col("i_place")).alias("diagonal")).distinct())
+
+
+def _matched(found: DataFrame, items: DataFrame) -> DataFrame:
+    """All common windows of the diagonals of :func:`_seeds`."""
+    item = items.select(F.col("key").alias("i_key"), F.col("id").alias("own_id"), F.col("text_hash").alias("own_hash"), F.col("place").alias("i_place"),
+                        F.col("words").alias("item_words"), F.col("slots").alias("item_slots"))
+    wanted = (_seeds(found, items).join(item, F.col("item_id").eqNullSafe(F.col("own_id")) & (F.col("i_hash") == F.col("own_hash")))
+              .withColumn("at", F.col("i_place") + F.col("diagonal")).drop("own_id", "own_hash"))
+    theirs = found.select(F.col("key").alias("d_key"), F.col("id").alias("d_id"), F.col("text_hash").alias("d_hash"), F.col("place").alias("d_place"), "size", "slots")
+    same = (F.col("i_key") == F.col("d_key")) & (F.col("text_hash") == F.col("d_hash")) & (F.col("at") == F.col("d_place")) & F.col("doc_id").eqNullSafe(F.col("d_id"))
+    return wanted.join(theirs, same)
+
+
 def contained(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, text_hash, item_id, covered, item_words, n_slots, n_changed,
     agreeing, kind): a row for each document and item that it contains; kind
@@ -223,18 +285,17 @@ def contained(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", ite
 
     def run(batches):
         bits, lengths = shared.value
+        mask = tb.U(64 * len(bits) - 1)
         if not lengths:
             return
         for part in tb.slices(batches, "text"):
             owner, nth, value, slot, at, length, key, words = template_windows(part.column("text"), lengths)
-            low = (key & tb.U((1 << FILTER_BITS) - 1))
+            low = key & mask
             use = (bits[(low >> tb.U(6)).astype(np.int64)] >> (key & tb.U(63))) & tb.U(1) == 1
-            yield _rows(part, owner, nth, value, slot, at[use], length[use], key[use], words)
-    found = _keyed(docs, doc_id, text).mapInArrow(run, WINDOWS).alias("d")
-    item = items.select(F.col("key").alias("i_key"), F.col("id").alias("item_id"), F.col("text_hash").alias("i_hash"), F.col("place").alias("i_place"),
-                        F.col("words").alias("item_words"), F.col("slots").alias("item_slots"))
-    matched = found.join(item, F.col("key") == F.col("i_key"))
-    diagonals = (matched.groupBy(F.col("id").alias("doc_id"), "text_hash", "item_id", "i_hash", (F.col("place") - F.col("i_place")).alias("diagonal"))
+            at, length, key = at[use], length[use], key[use]
+            yield _rows(part, owner, nth, at, length, key, _slots(at, length, value, slot), words)
+    found = written(_keyed(docs, doc_id, text).mapInArrow(run, WINDOWS))
+    diagonals = (_matched(found, items).groupBy("doc_id", "text_hash", "item_id", "i_hash", "diagonal")
                  .agg(F.sort_array(F.collect_set(F.struct(F.col("i_place").alias("place"), "size", "item_slots", F.col("slots").alias("doc_slots")))).alias("windows"),
                       F.first("item_words").alias("words")))
     best = F.struct("agreeing_enough", "covered", "agreeing", "item_words", "n_slots", "n_changed")

@@ -83,3 +83,63 @@ def test_query_finds_every_whole_item(spark):
     want = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
     got = {(r.doc_id, r.item_id) for r in queries.QUERIES["op1_decontamination"](spark, sf).collect()}
     assert want == got
+
+
+OPENING = "Which one of the following statements about the subject below is"      # 11 words
+
+
+def _windows(spark, docs, items):
+    keyed = decontaminate._keyed(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text")
+    own = keyed.mapInArrow(decontaminate._benchmark, decontaminate.WINDOWS).cache()
+    keyed = decontaminate._keyed(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text")
+    return keyed.mapInArrow(decontaminate._benchmark, decontaminate.WINDOWS), own
+
+
+def test_common_openings_join_no_pairs(spark):
+    def own_words(i):
+        name = "".join(chr(97 + int(c)) for c in str(i))
+        return " ".join(f"w{name}{c}" for c in "klmnopqrst")
+    items = [(i, f"{OPENING} {own_words(i)}") for i in range(200)]
+    docs = [(d, f"{OPENING} {own_words(1000 + d)}") for d in range(300)] + [(5000, items[7][1]), (5001, "So " + items[8][1])]
+    found, own = _windows(spark, docs, items)
+    shared = found.select("key").join(own.select("key"), "key").count()
+    seeds = decontaminate._seeds(found, own)
+    assert shared > 200 * 300 * 4                                     # what a join of windows alone would make
+    assert {(r.doc_id, r.item_id, r.diagonal) for r in seeds.collect()} == {(5000, 7, 0), (5001, 8, 1)}
+    assert set(run(spark, docs, items)) == {(5000, 7), (5001, 8)}
+
+
+def test_seeds_lose_no_run(spark):
+    import random
+    rnd = random.Random(5)
+    words = ["the", "river", "stone", "old", "12", "7", "km", "Ann", "Bob", "market", "sees", "and"]
+
+    def text(n):
+        return " ".join(rnd.choice(words) for _ in range(n))
+    items = [(i, text(rnd.randint(5, 30))) for i in range(60)]
+    docs = []
+    for d in range(260):
+        src = rnd.choice(items)[1].split()
+        for _ in range(rnd.randint(0, 3)):
+            src[rnd.randrange(len(src))] = rnd.choice(words)
+        cut = rnd.randint(0, 4)
+        docs.append((d, " ".join([text(rnd.randint(0, 9)), *src[cut:], text(rnd.randint(0, 9))])))
+    items += [(None, items[3][1]), (4, items[5][1])]
+    docs += [(None, docs[2][1]), (None, docs[3][1]), docs[4], (5, docs[6][1])]
+    got = {(r.doc_id, r.item_id, r.covered, r.kind) for r in decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+
+    def every_pair(found, own):
+        """All common windows of all pairs, without seeds."""
+        from pyspark.sql import functions as F
+        i = own.select("key", F.col("id").alias("item_id"), F.col("text_hash").alias("i_hash"), F.col("place").alias("i_place"),
+                       F.col("words").alias("item_words"), F.col("slots").alias("item_slots"))
+        return (found.join(i, "key").withColumn("doc_id", F.col("id")).withColumn("diagonal", F.col("place") - F.col("i_place")))
+    kept = decontaminate._matched
+    decontaminate._matched = every_pair
+    try:
+        want = {(r.doc_id, r.item_id, r.covered, r.kind) for r in decontaminate.contaminated(
+            spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    finally:
+        decontaminate._matched = kept
+    assert got == want and len(want) > 60 and {k for *_, k in want} == {"exact", "template"}

@@ -211,12 +211,16 @@ SETS = "class long, n long, counts binary, shingles binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of the rows, each class once a task."""
+    seen: set[int] = set()
     for part in tb.slices(batches, "text"):
         owner, key, n, cls = shingles(part.column("text"))
         counts = np.zeros((len(n), RANGES), np.uint32)
         np.add.at(counts, (owner, (key >> tb.U(58)).astype(np.int64)), 1)
         to = np.cumsum(n)
         full = np.flatnonzero((n > 0) & (cls == part.column("wanted").to_numpy()))
+        full = np.array([i for i in full[np.unique(cls[full], return_index=True)[1]] if int(cls[i]) not in seen], np.int64)
+        seen.update(cls[full].tolist())
         yield pa.RecordBatch.from_arrays([pa.array(cls[full]), pa.array(n[full]), pa.array([counts[i].tobytes() for i in full], pa.binary()),
                                           pa.array([key[to[i] - n[i]:to[i]].tobytes() for i in full], pa.binary())],
                                          names=["class", "n", "counts", "shingles"])
@@ -361,13 +365,15 @@ def split(regions: DataFrame) -> DataFrame:
 def link_table(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, n_shingles, class; components: node, component),
     both by class; classes that link with none aren't in components."""
-    named = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    named = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
     docs = written(members(named).drop("text"))
     parts = named.select("text").mapInArrow(_band_parts, PARTS).repartition("part").sortWithinPartitions("part", "class")
     regions = written(parts.mapInArrow(_regions, "region long, class long, n long").dropDuplicates(["region", "class"]))
-    one_of = (docs.join(regions.select("class").distinct(), "class").groupBy(F.col("class").alias("wanted")).agg(F.min("doc_id").alias("id")))
-    # A document that is listed twice gives its set twice: its links are then found twice.
-    sets = written(named.join(one_of.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id"))).select("wanted", "text").mapInArrow(_sets, SETS))
+    one_of = (docs.join(regions.select("class").distinct(), "class").groupBy(F.col("class").alias("wanted")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"))
+              .select("wanted", F.col("k.doc_id").alias("id"), F.col("k.text_hash").alias("hash")))
+    # The hash tells rows of one id, or of none, apart; copies of one row meet in one task.
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    sets = written(named.join(one_of.hint("shuffle_hash"), same).select("wanted", "text").mapInArrow(_sets, SETS))
     parts = written(split(regions.join(sets.select("class", "counts"), "class").select("region", "class", "n", "counts")))
     links = written(_links(_pairs(parts, "star"), sets))
     found = components(links)
@@ -382,7 +388,7 @@ def link_table(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tup
             found = components(links)
             if how == "all":                                   # every pair that may link has been compared
                 break
-    return docs, found
+    return docs.drop("text_hash"), found
 
 
 def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

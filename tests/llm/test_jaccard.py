@@ -74,3 +74,23 @@ def test_one_of_each_and_clashing_columns(spark):
     got = sorted(map(tuple, kept.collect()), key=str)
     assert [r for r in got if r[1]][:1] == [(2, "A b c d", 2, "y")] and len([r for r in got if r[0] is None]) == 1 and len(got) == 4
     assert jaccard.join(df.limit(0)).count() == 0
+
+
+def test_null_and_repeated_ids_give_each_set_once(spark, rng, monkeypatch):
+    def text(n):
+        return " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    hot = text(60)
+    rows = [(None, text(40)) for _ in range(200)] + [(None, hot)] * 150 + [(7, text(30)) for _ in range(50)] + [(8, hot + " more")]
+    sizes, kept = [], jaccard.written
+
+    def counted(df):
+        out = kept(df)
+        if "shingles" in out.columns:
+            sizes.append((out.count(), out.select("class").distinct().count()))
+        return out
+    monkeypatch.setattr(jaccard, "written", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard.join(df).collect()
+    classes = {r["class"] for r in got}
+    assert len(sizes) == 1 and sizes[0][0] == sizes[0][1] >= 2 and len(classes) == 252 and len(got) == len(rows)
+    assert sum(r.component_id == 8 for r in got) == 151 and len({r.component for r in got}) == 251

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from propval.functions.keys import block_group_tract, county_fips, state_fips, tract_key
 from propval.functions.mathx import guarded_pct
+from propval.sources.io import stored
 
 # The ten states of the stratified extract.
 TOP10_STATES = ["ca", "tx", "ny", "fl", "il", "pa", "oh", "ga", "wa", "nj"]
@@ -155,6 +156,12 @@ def quality_filter(df: DataFrame, price="currentsalesprice", living="sumlivingar
     return df.filter(cond)
 
 
+def property_rows(assessor: DataFrame, states: list[str] | None = TOP10_STATES, ranges: bool = True) -> DataFrame:
+    """The assessor rows of the extract: its states and quality filters."""
+    rows = assessor if states is None else assessor.filter(F.col("situsstate").isin(states))
+    return quality_filter(rows, ranges=ranges)
+
+
 def property_base(assessor: DataFrame, census: DataFrame, votes: DataFrame,
                   states: list[str] | None = TOP10_STATES, ranges: bool = True) -> DataFrame:
     """The extract: assessor + tract census + county votes, filtered.
@@ -162,10 +169,7 @@ def property_base(assessor: DataFrame, census: DataFrame, votes: DataFrame,
     The tract join key is padded county FIPS + 6-digit tract; the county key
     is padded on both sides (numeric FIPS lose leading zeros).
     """
-    p = assessor
-    if states is not None:
-        p = p.filter(F.col("situsstate").isin(states))
-    p = quality_filter(p, ranges=ranges)
+    p = property_rows(assessor, states, ranges)
     p = p.withColumn("_tract", tract_key(F.col("fips"), F.col("situscensustract"))) \
          .withColumn("_county", county_fips(F.col("fips")))
     c = census.withColumnRenamed("census_tract", "_tract")
@@ -267,6 +271,7 @@ def price_bounds(df: DataFrame, price: str, low=None, high=None) -> DataFrame:
 # --------------------------------------------------------------------------
 
 SALTS = 32               # parts of a group in the first round of a sample
+MOST_CUTS = 10_000       # groups whose cuts are sent to every task (under 1 MB)
 
 
 def hash_order(id_col: Column, seed: int = 42) -> Column:
@@ -292,19 +297,37 @@ def sample_per_group(df: DataFrame, group_col: str, n: int, id_col: str, seed: i
     return first.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= n).drop("_rn", "_salt")
 
 
-def stratified_extract(base: DataFrame, n_per_state: int = 1000, threshold: float = 800000,
-                       group_col: str = "state_fips", id_col: str = "property_id",
-                       price_col: str = "sale_price", seed: int = 42) -> DataFrame:
+def sample_cuts(df: DataFrame, group_col: str, n: int, id_col: str, seed: int = 42) -> DataFrame:
+    """Per group the place in :func:`hash_order` of its n-th row (of its last,
+    if it has fewer): the group's sample is the rows up to ``_cut``."""
+    place = F.struct(hash_order(F.col(id_col), seed).alias("h"), F.col(id_col).alias("id"))
+    return sample_per_group(df.select(group_col, id_col), group_col, n, id_col, seed).groupBy(group_col).agg(F.max(place).alias("_cut"))
+
+
+def sample_or_above(df: DataFrame, cuts: DataFrame, group_col: str, id_col: str, price_col: str, threshold: float, seed: int = 42) -> DataFrame:
+    """Rows of df up to their group's ``_cut`` or above the price, in one pass.
+    The cuts are a row a group: they are sent to every task where they are at
+    most ``MOST_CUTS`` rows and joined by Spark's own choice beyond."""
+    place = F.struct(hash_order(F.col(id_col), seed).alias("h"), F.col(id_col).alias("id"))
+    cuts = cuts.withColumnRenamed(group_col, "_group")
+    side = F.broadcast(cuts) if cuts.count() <= MOST_CUTS else cuts
+    return (df.join(side, F.col(group_col).eqNullSafe(F.col("_group")), "left")
+            .filter((F.col(price_col) > threshold) | (place <= F.col("_cut"))).drop("_group", "_cut"))
+
+
+def stratified_extract(assessor: DataFrame, census: DataFrame, votes: DataFrame, states: list[str] | None = TOP10_STATES,
+                       n_per_state: int = 1000, threshold: float = 800000, seed: int = 42) -> DataFrame:
     """Random sample per state UNION all rows above ``threshold``, price desc.
 
-    Rows are unique by ``id_col``, so the distinct union equals
-    ``high ∪ (sample \\ high)``: the sample rows above the threshold are
-    dropped by a filter instead of a distinct over every column.
+    Rows are unique by property, so the distinct union is one filter: up to
+    the state's cut, or above the threshold.  The cuts come from the state and
+    id of the assessor rows alone, and only chosen rows meet the census and
+    the votes, each of which is read once.
     """
-    sample = sample_per_group(base, group_col, n_per_state, id_col, seed)
-    high = base.filter(F.col(price_col) > threshold)
-    rest = sample.filter(~(F.col(price_col) > threshold) | F.col(price_col).isNull())
-    return high.unionByName(rest).orderBy(F.col(price_col).desc(), F.col(id_col))
+    rows = property_rows(assessor, states).withColumn("_state", state_fips(F.col("fips")))
+    cuts = stored(sample_cuts(rows, "_state", n_per_state, "propertyid", seed), "cuts")
+    chosen = sample_or_above(rows, cuts, "_state", "propertyid", "currentsalesprice", threshold, seed)
+    return property_base(chosen, census, votes, states=None).orderBy(F.col("sale_price").desc(), F.col("property_id"))
 
 
 def id_bridge(address: DataFrame) -> DataFrame:

@@ -353,7 +353,7 @@ SELECT * FROM (
 ORDER BY sale_price DESC, property_id""", ["fx_base"]), BASE_DOUBLES))
 def q_stratified_extract(spark, sf):
     """Random sample per state UNION every property above 800K, price desc."""
-    return X.stratified_extract(base(spark, sf))
+    return X.stratified_extract(fx.assessor(spark, sf), census(spark, sf), fx.votes(spark, sf))
 
 
 @query("q_id_bridge", with_fx("""

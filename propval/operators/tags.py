@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from propval.sources.io import stored
+
 IMAGE_SCHEMA = T.MapType(T.StringType(), T.StructType([
     T.StructField("prominent_features", T.ArrayType(T.StringType())),
     T.StructField("image_type", T.StringType()),
@@ -91,6 +93,22 @@ def tag_counts(long: DataFrame, id_col: str = "property_id") -> DataFrame:
     return long.groupBy("tag").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+def frequency_rank(counts: DataFrame, name: str = "rank", count_col: str = "n_docs", tag_col: str = "tag") -> DataFrame:
+    """counts with the row number (int) by count descending, then tag.
+
+    Rows are dealt by range of that order and numbered within their range; the
+    rows of the ranges before are added, so no task orders the vocabulary.
+    The dealt rows are written, so that a task run again finds its range.
+    """
+    order = [F.col(count_col).desc(), F.col(tag_col)]
+    dealt = stored(counts.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)          # a row a range
+    starts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn("_nth", within).join(starts, "_range").withColumn(name, (F.col("_start") + F.col("_nth")).cast("int")).drop("_range", "_nth", "_start")
+
+
+
 def top_n(counts: DataFrame, n: int, count_col: str = "n_docs", key: str = "tag") -> DataFrame:
     """The ``n`` most frequent keys, ties by key; adds 1-based ``rank``.
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from propval.functions import tiers
@@ -19,7 +18,7 @@ from propval.operators import metrics as M
 from propval.operators import topic_reports as TR
 from propval.functions.quantiles import agg_with_quantiles
 from propval.operators.features import clip, hash_split
-from propval.operators.tags import explode_tags, tag_counts
+from propval.operators.tags import explode_tags, frequency_rank, tag_counts
 from propval.plans.oracle_fixtures import IMPORTANCE_FEATURES, METHODS, N_TOPICS, with_fx
 from propval.plans.q_extract import extract
 from propval.plans.registry import query, rounded, round_half_up
@@ -75,8 +74,7 @@ def topic_table(spark, sf):
 
 
 def topic_terms(spark, sf):
-    c = tag_counts(explode_tags(fx.tagged(spark, sf)))
-    c = c.withColumn("rk", F.row_number().over(Window.orderBy(F.col("n_docs").desc(), "tag")))  # vocabulary-sized
+    c = frequency_rank(tag_counts(explode_tags(fx.tagged(spark, sf))), "rk")
     topics = F.explode(F.array(*[F.lit(j) for j in range(1, N_TOPICS + 1)]))
     return (c.withColumn("topic", topics).select(
         "topic", F.col("tag").alias("term"),

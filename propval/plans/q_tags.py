@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from propval.operators import tags as TG
@@ -52,8 +51,7 @@ FROM fx_tag_counts""", ["fx_tag_counts"]))
 def q_tag_counts(spark, sf):
     """Documents per tag with frequency rank (ties by tag)."""
     counts = TG.tag_counts(TG.explode_tags(fx.tagged(spark, sf)))
-    # one row per distinct tag: the global rank window runs over the vocabulary
-    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.col("n_docs").desc(), "tag")))
+    return TG.frequency_rank(counts)
 
 
 _TOP = f"(SELECT tag FROM fx_tag_counts ORDER BY n_docs DESC, tag LIMIT {N_SINGLES})"

@@ -36,3 +36,11 @@ def test_stratified_extract_scans_like_the_base(spark):
     registry.load_all()
     whole = registry.QUERIES["q_stratified_extract"](spark, SMALL)
     assert scans(whole) <= scans(q_extract.base(spark, SMALL)) + 1    # and the cuts
+
+
+def test_frequency_rank_over_many_ranges(spark):
+    from propval.operators.tags import frequency_rank
+    rows = [(f"t{i:04d}", i * 7 % 13) for i in range(3000)]
+    got = {r.tag: r["rank"] for r in frequency_rank(spark.createDataFrame(rows, "tag string, n_docs long").repartition(6)).collect()}
+    assert got == {t: k for k, (t, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])), 1)}
+    assert frequency_rank(spark.createDataFrame([], "tag string, n_docs long")).count() == 0

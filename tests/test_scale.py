@@ -47,3 +47,64 @@ def test_lda_iterations_dont_derive_the_texts_again(spark):
     docs = spark.range(200, numPartitions=2).select(F.col("id").alias("property_id"), words("id").alias("tags"))
     TP.lda_topics(docs, 3, 10)
     assert seen.value <= 5 * 200                           # 20 iterations
+
+
+def plain_sweep(idx, z, u, counts, alpha, beta):
+    mz, nz, nzw = counts
+    out = []
+    for words, old, at in zip(idx, z, u, strict=True):
+        words = np.asarray(words, int)
+        mz[old], nz[old] = mz[old] - 1, nz[old] - len(words)
+        nzw[old, words] -= 1
+        log_p = np.log(mz + alpha) + np.log(nzw[:, words] + beta).sum(axis=1) - np.log(nz[:, None] + nzw.shape[1] * beta + np.arange(len(words))).sum(axis=1)
+        p = np.cumsum(np.exp(log_p - log_p.max()))
+        new = int(np.searchsorted(p, at * p[-1], "right").clip(0, len(p) - 1))
+        mz[new], nz[new] = mz[new] + 1, nz[new] + len(words)
+        nzw[new, words] += 1
+        out.append(new)
+    return out
+
+
+def mixture(n, longest, seed=0):
+    rng = np.random.default_rng(seed)
+    docs = [np.sort(rng.choice(80, rng.integers(0, longest), replace=False)).tolist() for _ in range(n)]
+    z = rng.integers(0, 5, n).tolist()
+    words = np.zeros((5, 80))
+    for d, k in zip(docs, z):
+        words[k, d] += 1
+    counts = lambda: (np.bincount(z, minlength=5).astype(float), words.sum(axis=1), words.copy())
+    return docs, z, rng.random(n).tolist(), counts
+
+
+@pytest.mark.parametrize("longest, beta", [(8, 0.1), (60, 0.1), (30, 1e-14)])
+def test_sweep_draws_what_a_plain_loop_draws(longest, beta):
+    docs, z, u, counts = mixture(500, longest)
+    a, b = counts(), counts()
+    assert TP.gsdmm_sweep(docs, z, u, a, len(docs), 0.1, beta) == plain_sweep(docs, z, u, b, 0.1, beta)
+    assert all(np.array_equal(x, y) for x, y in zip(a, b))
+
+
+def test_sweep_of_short_documents_is_additions_and_products():
+    import time
+    docs, z, u, counts = mixture(6000, 8)
+
+    def best(f):
+        times = []
+        for _ in range(3):
+            c, start = counts(), time.process_time()
+            f(c)
+            times.append(time.process_time() - start)
+        return min(times)
+    assert 1.7 * best(lambda c: TP.gsdmm_sweep(docs, z, u, c, len(docs), 0.1, 0.1)) < best(lambda c: plain_sweep(docs, z, u, c, 0.1, 0.1))
+
+
+def test_nmf_reads_the_entries_of_a_batch_flat():
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    idx = [sorted(rng.choice(20, rng.integers(0, 6), replace=False).tolist()) for _ in range(40)]
+    val = [rng.random(len(i)).tolist() for i in idx]
+    H = rng.random((3, 20))
+    batch = pa.RecordBatch.from_pydict({"idx": pa.array(idx, pa.list_(pa.int32())), "val": pa.array(val, pa.list_(pa.float64()))}).slice(5, 30)
+    w, doc = TP.nmf_solve(*TP._entries(batch), H, 0.1, 0.2)
+    again, doc_again, *_ = TP.nmf_weights(idx[5:35], val[5:35], H, 0.1, 0.2)
+    assert np.array_equal(w, again) and np.array_equal(doc, doc_again) and len(w) == 30

@@ -73,8 +73,8 @@ def topic_table(spark, sf):
     return t.withColumn("dominant_topic", TR.dominant_topic(TR.topic_cols(N_TOPICS)))
 
 
-def topic_terms(spark, sf):
-    c = frequency_rank(tag_counts(explode_tags(fx.tagged(spark, sf))), "rk")
+def topic_terms(spark, sf, tagged=None):
+    c = frequency_rank(tag_counts(explode_tags(fx.tagged(spark, sf) if tagged is None else tagged)), "rk")
     topics = F.explode(F.array(*[F.lit(j) for j in range(1, N_TOPICS + 1)]))
     return (c.withColumn("topic", topics).select(
         "topic", F.col("tag").alias("term"),

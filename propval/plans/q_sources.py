@@ -20,6 +20,7 @@ from propval.plans.q_features import OUTLIER_CTES, prior_sale_input
 from propval.plans.q_metrics import method_predictions, predictions, topic_terms
 from propval.plans.registry import query, rounded
 from propval.sources import fixtures as fx
+from propval.sources.io import stored
 from propval.sources import io
 
 _CSV_COLS = ["cc_list_id", "price", "a_date", "state", "city", "gla_sqft", "pool_spa_types"]
@@ -275,5 +276,5 @@ def q_topic_coherence(spark, sf):
     """C_V coherence of each topic's top-10 terms over the tag documents
     (document-wide window): NPMI vectors and their cosine to the topic sum."""
     from propval.operators.topics import cv_coherence
-    t = fx.tagged(spark, sf)
-    return cv_coherence(topic_terms(spark, sf), t, 10)
+    t = stored(fx.tagged(spark, sf), "tags")
+    return cv_coherence(topic_terms(spark, sf, t), t, 10)

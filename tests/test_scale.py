@@ -108,3 +108,33 @@ def test_nmf_reads_the_entries_of_a_batch_flat():
     w, doc = TP.nmf_solve(*TP._entries(batch), H, 0.1, 0.2)
     again, doc_again, *_ = TP.nmf_weights(idx[5:35], val[5:35], H, 0.1, 0.2)
     assert np.array_equal(w, again) and np.array_equal(doc, doc_again) and len(w) == 30
+
+
+def test_counts_of_terms_are_written_out_once(spark):
+    from propval.operators import text as TX
+    docs = spark.createDataFrame([(1, ["b", "a", "b"]), (2, ["c"]), (3, [])], "property_id long, tokens array<string>")
+    counts = TX.doc_term_counts(docs, 2)
+    assert {(r.property_id, r.term): r["count"] for r in counts.collect()} == {(1, "b"): 2, (1, "a"): 1}
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("array_sort") == 1
+
+
+def test_no_two_models_meet_in_a_task(spark):
+    from propval.operators import boosting as B
+    names = [f"d{d}|{t}" for d in (6, 8, 10, 12, 14, 16) for t in range(3)]
+    at = spark.createDataFrame([(n,) for n in names], "name string").repartition(B._apart(spark, names), "name").select(F.spark_partition_id().alias("p"))
+    assert at.distinct().count() == len(names)
+    assert B._apart(spark, ["a"]) == 1 == B._apart(spark, [""])
+
+
+def test_both_searches_find_the_same_splits():
+    from propval.operators import boosting as B
+    rng = np.random.default_rng(6)
+    bins = np.minimum(rng.integers(0, 90, (900, 5)), B.BINS - 1)
+    own, up = rng.integers(0, 60, 900), rng.integers(0, 2, 900)
+    own[own == 17] = 18                                    # a node without rows
+    places = bins + np.arange(5) * B.BINS
+    for s, least in ((B.Spec("m", loss="pinball"), 3.0), (B.Spec("m", loss="pinball", l1=0.5, l2=0.0), 1.0)):
+        a, x = B._best_dense(own, places, 0.5 - up, np.ones(900), 60, s, least)
+        b, y = B._best_sorted(own, places, up, 0.5, 60, s, least)
+        assert np.array_equal(a[a > 1e-12], b[a > 1e-12]) and np.array_equal(x[a > 1e-12], y[a > 1e-12]) and (b[a <= 1e-12] <= 1e-12).all()
+        assert (a > 1e-12).sum() > 30

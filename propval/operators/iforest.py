@@ -6,8 +6,10 @@
    whole data group).
 2. ``groupBy(tree).applyInPandas`` grows each isolation tree from its 256
    rows (numpy, bounded work) and returns it as a node table.
-3. The node tables (trees x at most 511 nodes) are broadcast and every
-   partition scores its rows vectorised (``mapInPandas``).
+3. The node tables (trees x at most 511 nodes) are broadcast as complete
+   binary trees, in which the children of node i are 2 i + 1 and 2 i + 2, and
+   every partition scores its rows vectorised (``mapInPandas``): a level of a
+   tree is three look-ups and a comparison for all rows of a batch.
 4. The anomaly cut is the exact ``1 - contamination`` percentile of the score.
 """
 
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propval.functions.quantiles import quantile_row
+from propval.sources.io import stored
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, size int, depth int")
 
@@ -63,21 +66,69 @@ def _grow(pdf: pd.DataFrame, features: list[str], max_depth: int) -> pd.DataFram
     return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "size", "depth"])
 
 
+def _laid_out(tree: pd.DataFrame, max_depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A tree's node table as a complete binary tree: feature and threshold
+    by inner place, and path length by place of the last level.  What is below
+    a leaf has the leaf's path length, whichever way a row goes."""
+    feature, threshold = np.zeros(2 ** max_depth - 1, dtype=np.intp), np.zeros(2 ** max_depth - 1)
+    path = np.zeros(2 ** max_depth)
+    nodes = {n: (f, t, li, ri, s, d) for n, f, t, li, ri, s, d in
+             tree[["node", "feature", "threshold", "left", "right", "size", "depth"]].itertuples(index=False)}
+    todo = [(0, 0, 0)]
+    while todo:
+        node, place, level = todo.pop()
+        f, t, li, ri, size, depth = nodes[node]
+        if f < 0:
+            width = 2 ** (max_depth - level)
+            first = (place + 1) * width - 2 ** max_depth
+            path[first:first + width] = depth + _c(size)
+        else:
+            feature[place], threshold[place] = f, t
+            todo += [(li, 2 * place + 1, level + 1), (ri, 2 * place + 2, level + 1)]
+    return feature, threshold, path
+
+
+def _total_path(X: np.ndarray, forest: list[tuple[np.ndarray, np.ndarray, np.ndarray]], max_depth: int) -> np.ndarray:
+    """Sum of the path lengths of the rows of X (rows x features) over the trees."""
+    n = len(X)
+    flat, rows = np.ascontiguousarray(X.T).reshape(-1), np.arange(n)
+    total = np.zeros(n)
+    at, value, place = np.empty(n, dtype=np.intp), np.empty(n), np.empty(n, dtype=np.intp)
+    cut, left = np.empty(n), np.empty(n, dtype=bool)
+    for feature, threshold, path in forest:
+        start = feature * n
+        place.fill(0)
+        for _ in range(max_depth):
+            # mode: nothing is out of range, and only "raise" copies what it takes
+            np.take(start, place, out=at, mode="clip")
+            np.add(at, rows, out=at)
+            np.take(flat, at, out=value, mode="clip")
+            np.take(threshold, place, out=cut, mode="clip")
+            np.less(value, cut, out=left)
+            np.multiply(place, 2, out=place)
+            np.add(place, 2, out=place)
+            np.subtract(place, left, out=place)
+        np.subtract(place, 2 ** max_depth - 1, out=place)
+        total += np.take(path, place, out=value, mode="clip")
+    return total
+
+
 def isolation_forest(df: DataFrame, features: list[str], id_col: str, n_trees: int = 100,
                      sample_size: int = 256, contamination: float = 0.05, seed: int = 42) -> DataFrame:
     """``(id, anomaly_score, is_outlier)``; NULL features are filled with medians."""
     from propval.operators.features import column_medians, fill_medians
-    d = fill_medians(df.select(id_col, *features), column_medians(df, features))
-    d = d.select(id_col, *[F.col(f).cast("double").alias(f) for f in features]).checkpoint(eager=True)   # read for count, samples and scores
-    n = d.count()
+    read = stored(df.select(id_col, *features), "forest-rows")              # read for medians, count, samples and scores
+    d = fill_medians(read, column_medians(read, features))
+    d = d.select(id_col, *[F.col(f).cast("double").alias(f) for f in features])
+    n = read.count()
     if n == 0:
         return df.sparkSession.createDataFrame([], f"{id_col} long, anomaly_score double, is_outlier boolean")
     # candidate rate: about 4x the sample per tree, so the 256 kept are a uniform draw
     rate = min(1.0, 4.0 * sample_size / n)
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    hid = lambda t: (F.abs(F.xxhash64(F.col(id_col), t, F.lit(seed))) % 1000000007) / 1000000007.0
-    cand = (d.select("*", F.explode(F.filter(trees, lambda t: hid(t) < rate)).alias("tree"))
-             .withColumn("_h", F.abs(F.xxhash64(F.col(id_col), F.col("tree"), F.lit(seed)))))
+    # a row per tree is filtered in generated code; a filter of the array of trees would be interpreted
+    trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree")
+    hashed = F.abs(F.xxhash64(F.col(id_col), F.col("tree"), F.lit(seed)))
+    cand = d.select("*", trees).filter((hashed % 1000000007) / 1000000007.0 < rate).withColumn("_h", hashed)
     from pyspark.sql import Window
     w = Window.partitionBy("tree").orderBy("_h", id_col)
     sample = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= sample_size)
@@ -86,31 +137,15 @@ def isolation_forest(df: DataFrame, features: list[str], id_col: str, n_trees: i
                    .groupBy("tree").applyInPandas(lambda p: _grow(p, features, max_depth), NODE_SCHEMA)
                    .collect())                      # n_trees x (2 * sample_size - 1) rows at most
     table = pd.DataFrame([r.asDict() for r in nodes]).sort_values(["tree", "node"])
-    forest = {t: g.reset_index(drop=True) for t, g in table.groupby("tree")}
-    bc = df.sparkSession.sparkContext.broadcast(forest)
+    bc = df.sparkSession.sparkContext.broadcast([_laid_out(g, max_depth) for _, g in table.groupby("tree")])
     c_n = _c(sample_size)
 
     def score(it):
-        fr = bc.value
+        forest = bc.value
         for pdf in it:
-            X = pdf[features].to_numpy(dtype=float)
-            total = np.zeros(len(X))
-            for g in fr.values():
-                feat, thr = g["feature"].to_numpy(), g["threshold"].to_numpy()
-                left, right = g["left"].to_numpy(), g["right"].to_numpy()
-                size, depth = g["size"].to_numpy(), g["depth"].to_numpy()
-                node = np.zeros(len(X), dtype=int)
-                for _ in range(max_depth + 1):
-                    f = feat[node]
-                    internal = f >= 0
-                    if not internal.any():
-                        break
-                    go_left = X[np.arange(len(X)), np.where(internal, f, 0)] < thr[node]
-                    node = np.where(internal, np.where(go_left, left[node], right[node]), node)
-                total += depth[node] + np.array([_c(s) for s in size[node]])
-            path = total / max(len(fr), 1)
+            path = _total_path(pdf[features].to_numpy(dtype=float), forest, max_depth) / max(len(forest), 1)
             yield pd.DataFrame({id_col: pdf[id_col], "anomaly_score": np.power(2.0, -path / c_n)})
 
-    scored = d.mapInPandas(score, f"{id_col} long, anomaly_score double").checkpoint(eager=True)         # read for the cut and the result
+    scored = stored(d.mapInPandas(score, f"{id_col} long, anomaly_score double"), "forest-scores")         # read for the cut and the result
     cut = quantile_row(scored, {"c": ("anomaly_score", 1 - contamination)})["c"]
     return scored.withColumn("is_outlier", F.col("anomaly_score") > F.lit(cut))

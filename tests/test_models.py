@@ -125,3 +125,42 @@ def test_outlier_filter_forest_step_and_guards(spark):
     assert kept.count() == s["very_low"].final + s["ultra_high"].final + 20
     _, few = FE.outlier_filter_forest(df, "sale_price", ["living_sqft", "nothing"], "property_id")
     assert sum(r.isolation_forest for r in few.collect()) == 0    # fewer than 3 features
+
+
+def test_isolation_forest_derives_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for p in batches:
+            seen.add(len(p))
+            yield p
+
+    rows = [(i, float(i * 37 % 101), None if i % 10 == 0 else float(i % 7)) for i in range(2000)]
+    d = spark.createDataFrame(rows, "id long, a double, b double").mapInPandas(counted, "id long, a double, b double")
+    out = isolation_forest(d, ["a", "b"], "id", n_trees=10).collect()
+    assert len(out) == 2000 and seen.value == 2000
+    assert 0 < sum(r.is_outlier for r in out) <= 140
+
+
+def test_isolation_trees_score_rows_like_a_walk_of_their_nodes():
+    import numpy as np
+    import pandas as pd
+
+    from propval.operators import iforest as IF
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(500, 3)).round(1)
+    X[::20, 1] = np.nan
+    trees = []
+    for t in range(6):
+        # many rows, few (leaves high up), equal ones and a single one
+        p = pd.DataFrame(rng.normal(size=([64, 64, 9, 2, 1, 64][t], 3)).round(1 if t else 4) * (t != 5), columns=list("abc"))
+        trees.append(IF._grow(p.assign(tree=t), list("abc"), 6))
+    want = np.zeros(len(X))
+    for g in trees:
+        node = g.set_index("node")
+        for i, x in enumerate(X):
+            at = node.loc[0]
+            while at.feature >= 0:
+                at = node.loc[at.left if x[int(at.feature)] < at.threshold else at.right]
+            want[i] += at.depth + IF._c(at["size"])
+    assert (IF._total_path(X, [IF._laid_out(g, 6) for g in trees], 6) == want).all()

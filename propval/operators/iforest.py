@@ -116,9 +116,9 @@ def _total_path(X: np.ndarray, forest: list[tuple[np.ndarray, np.ndarray, np.nda
 def isolation_forest(df: DataFrame, features: list[str], id_col: str, n_trees: int = 100,
                      sample_size: int = 256, contamination: float = 0.05, seed: int = 42) -> DataFrame:
     """``(id, anomaly_score, is_outlier)``; NULL features are filled with medians."""
-    from propval.operators.features import column_medians, fill_medians
+    from propval.operators.features import fill_medians, medians_of_stored
     read = stored(df.select(id_col, *features), "forest-rows")              # read for medians, count, samples and scores
-    d = fill_medians(read, column_medians(read, features))
+    d = fill_medians(read, medians_of_stored(read, features))
     d = d.select(id_col, *[F.col(f).cast("double").alias(f) for f in features])
     n = read.count()
     if n == 0:

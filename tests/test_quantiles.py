@@ -38,3 +38,19 @@ def test_no_group_meets_in_one_task(spark):
     df = spark.range(10).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
     plan = quantiles(df, ["g"], {"m": ("v", 0.5)})._jdf.queryExecution().toString()
     assert "percentile" not in plan
+
+
+def test_medians_of_a_stored_frame_are_those_of_quantiles(spark):
+    import math
+
+    from propval.functions.quantiles import stored_medians
+    rows = [(i, None if i % 5 == 0 else ["a", "b"][i % 2], None if i % 3 == 0 else (i * 7919 % 1009 - 500) / 7.0, [0.0, -0.0, math.inf, -math.inf, math.nan, 1e-310, -5.0][i % 7], None)
+            for i in range(2000)]
+    d = spark.createDataFrame(rows, "id long, t string, x double, y double, z double").repartition(5)
+    want = {r["t"]: r for r in quantiles(d.where("t is not null"), ["t"], {c: (c, 0.5) for c in "xyz"}).collect()}
+    got = {r["t"]: r for r in stored_medians(d, ["x", "y", "z"], "t").collect()}
+    assert set(got) == {"a", "b"}
+    for t, r in got.items():
+        assert r["x"] == want[t]["x"] and r["z"] is None and (r["y"] == want[t]["y"] or math.isnan(r["y"]) and math.isnan(want[t]["y"]))
+    whole = stored_medians(d, ["x"]).first()
+    assert whole["x"] == quantiles(d, [], {"m": ("x", 0.5)}).first()["m"]

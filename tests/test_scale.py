@@ -138,3 +138,16 @@ def test_both_searches_find_the_same_splits():
         b, y = B._best_sorted(own, places, up, 0.5, 60, s, least)
         assert np.array_equal(a[a > 1e-12], b[a > 1e-12]) and np.array_equal(x[a > 1e-12], y[a > 1e-12]) and (b[a <= 1e-12] <= 1e-12).all()
         assert (a > 1e-12).sum() > 30
+
+
+@pytest.mark.parametrize("buckets, top", [(64, 1), (64, 3), (5000, 20), (7, 2000)])
+def test_vocabulary_by_buckets_is_the_whole_one(spark, monkeypatch, buckets, top):
+    from propval.operators import text as TX
+    rng = np.random.default_rng(4)
+    # a few frequent terms, many rare ones that fill their buckets, ties
+    rows = [(i, [f"w{int(t)}" for t in rng.zipf(1.3, 12) % 700] + [f"u{i}", f"u{i // 2}"]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "property_id long, tokens array<string>").repartition(3)
+    want = TX.vocabulary(docs, top)
+    monkeypatch.setattr(TX, "DIRECT", 0)
+    monkeypatch.setattr(TX, "BUCKETS", buckets)
+    assert TX.vocabulary(docs, top) == want and want[1] == 600
